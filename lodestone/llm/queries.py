@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, packing, quality, secrets, urlfilter, warc
+from . import decontaminate, language, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter, warc
 from .common import scratch_path
 
 
@@ -15,6 +15,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(of: int, left: int):
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of)) == left, F.lit(False))
+
+
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(_table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    known = docs.join(labels.filter(~_held_out(5, 0)), "doc_id")
+    sample = language.sample(known, "toxic", toxicity.PER_CLASS)
+    model = toxicity.fit([t for t, _ in sample], [y for _, y in sample])
+    return toxicity.score(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s.ord < len(secrets.BASE))
@@ -39,6 +56,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *q, "base_failed", "kept")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    sample = language.sample(docs.filter(~_held_out(4, 2)), "lang", language.PER_LANGUAGE)
+    model = language.fit([t for t, _ in sample], [x for _, x in sample])
+    return language.identify(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
     return judged.select(
