@@ -90,4 +90,6 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     # a struct takes the caller's columns past any clash of names
     packed = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
-    return measures(packed, "__text").filter(verdict()).select("__row.*")
+    # the counter keeps the optimiser from pushing the filter, and with it every measure, below the projections
+    fixed = verdict() & (F.monotonically_increasing_id() >= 0)
+    return measures(packed, "__text").select("__row", fixed.alias("__kept")).filter("__kept").select("__row.*")

@@ -52,9 +52,9 @@ def lookups(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """``entry, action, since, until``: when each entry was in force; until is open at the end."""
     rank = F.expr("case action when 'block' then 0 when 'allow' then 1 else 2 end")
-    clean = entries.select(F.lower(F.rtrim(F.lit("/"), F.col("entry"))).alias("raw"), F.col("entry").alias("given"), F.col("listed").cast("date").alias("since"), "action").dropna()
+    clean = entries.select(F.lower(F.rtrim(F.col("entry"), F.lit("/"))).alias("raw"), F.col("entry").alias("given"), F.col("listed").cast("date").alias("since"), "action").dropna()
     host, slash = F.substring_index("raw", "/", 1), F.instr("given", "/")
-    entry = F.when(slash > 0, F.concat(host, F.expr("substring(rtrim('/', given), instr(given, '/'))"))).otherwise(host)
+    entry = F.when(slash > 0, F.concat(host, F.expr("substring(trim(trailing '/' from given), instr(given, '/'))"))).otherwise(host)
     clean = clean.select(F.regexp_replace(entry, r"^www\.", "").alias("entry"), "since", "action")
     day = clean.groupBy("entry", "since").agg(F.min_by("action", rank).alias("action"))
     until = F.lead("since").over(Window.partitionBy("entry").orderBy("since"))
