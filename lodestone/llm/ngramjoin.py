@@ -10,7 +10,8 @@ Two documents link when the Jaccard similarity of their sets of five-word shingl
    hold one of any set it links with.  Classes that share such a shingle meet in a bucket.  Shingles of
    boilerplate come last in the order, so buckets are small unless texts are boilerplate throughout.
    Buckets with the same members are looked at once.
-3. *R-trees.*  A class is the point of its counts of shingles in ``GROUPS`` hash groups.  The sum of the
+3. *R-trees.*  A class is the point of its counts of shingles in hash groups (``GROUPS``, more for large sets, in
+   which case boxes are on the coarser of two grids).  The sum of the
    coordinates' minima of two points bounds their overlap, the sum of the minima of two boxes' upper corners
    that of anything in them.  A bucket's points are packed into a tree of boxes, and the tree is joined with
    itself; pairs whose bound reaches the threshold join into families.  Only a spanning forest leaves a
@@ -39,12 +40,14 @@ from .common import drop_scratch, materialise
 from .shingles import mix, shingle_sets
 
 GROUPS = 64
+#: Shingles a hash group holds on average at most.
+GROUP_SIZE = 12
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 _PARTS = 16
 LEAF = 32
 CHUNK = 2048
-CHUNK_SHINGLES = 3_000_000
+CHUNK_SHINGLES = 1_000_000
 #: Members of families up to which their ids are broadcast to the texts (some 24 bytes each).
 BROADCAST_MEMBERS = 1_000_000
 #: A longer bucket is not compared with others member by member; it is looked at on its own.
@@ -67,13 +70,37 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def groups_for(n: int) -> int:
+    """Hash groups of a set of n shingles: four times as many for each four times the size, from ``GROUPS`` on.
+
+    With a few counts a group, unrelated sets of one size lie well apart whatever their size.
+    """
+    groups = GROUPS
+    while n > groups * GROUP_SIZE:
+        groups *= 4
+    return groups
+
+
 def count_vector(s: np.ndarray) -> bytes:
-    counts = np.bincount((s >> np.uint64(58)).astype(np.intp), minlength=GROUPS)
-    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+    """Counts by hash group; groups of a coarser grid are runs of these."""
+    groups = groups_for(len(s))
+    counts = np.bincount((s >> np.uint64(65 - groups.bit_length())).astype(np.intp), minlength=groups)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\1" + counts.astype(np.uint32).tobytes()
 
 
 def vector_of(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if len(data) == GROUPS else np.uint32)
+    return np.frombuffer(data, np.uint32, offset=1) if len(data) % 2 else np.frombuffer(data, np.uint8)
+
+
+def grids(vectors: list[np.ndarray], sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(indexes, points)`` on each grid in use: the points of the grid, and of the next finer one those that
+    are small enough to link with them.  A grid's last pairs of finer points are also met on their own grid."""
+    width = np.array([len(v) for v in vectors])
+    for groups in np.unique(width).tolist():
+        own = width == groups
+        finer = (width == 4 * groups) & (4 * sizes <= 5 * groups * GROUP_SIZE)
+        at = np.flatnonzero(own | finer) if own.any() else np.flatnonzero(own)
+        yield at, np.stack([vectors[k].astype(np.int32) if len(vectors[k]) == groups else vectors[k].astype(np.int32).reshape(groups, 4).sum(axis=1) for k in at])
 
 
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,20 +282,23 @@ class CountTree:
                 edges.append((rows_a[i], rows_b[j]))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int, weigh=None) -> Iterator[pa.Table]:
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """The rows of each value of the first ``keys`` columns together; rows come sorted by them."""
     held: list[pa.RecordBatch] = []
+    last: tuple | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        if held:
-            batch = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
         cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
         new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in cols], axis=0)])
-        starts = np.flatnonzero(new)
+        starts = [*np.flatnonzero(new).tolist(), batch.num_rows]
         for s, e in zip(starts[:-1], starts[1:], strict=True):
-            yield pa.Table.from_batches([batch.slice(s, e - s)])
-        held = [batch.slice(starts[-1])]
+            key = tuple(c[s] for c in cols)
+            if key != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(s, e - s))
+            last = key
     if held:
         yield pa.Table.from_batches(held)
 
@@ -289,12 +319,14 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reps, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
         if len(reps) == 2 and (5 * sizes.min() < 4 * sizes.max() or (reps[0], reps[1]) in done):
             continue
-        points = [vector_of(x) for x in table.column(3).to_pylist()]
-        points = np.stack([p.astype(np.int32) for p in points])
-        if len(reps) == 2:
-            found = [(0, 1)] if reaches(int(np.minimum(*points).sum()), int(sizes.sum())) else []
-        else:
-            found = CountTree(points, sizes).forest()
+        vectors = [vector_of(x) for x in table.column(3).to_pylist()]
+        found = []
+        for at, points in grids(vectors, sizes):
+            if len(at) == 2:
+                if reaches(int(np.minimum(*points).sum()), int(sizes[at].sum())):
+                    found.append((int(at[0]), int(at[1])))
+            elif len(at) > 2:
+                found += [(int(at[i]), int(at[j])) for i, j in CountTree(points, sizes[at]).forest()]
         for i, j in found:
             pair = (int(reps[i]), int(reps[j]))
             if pair not in done:
@@ -428,7 +460,12 @@ def join(docs: DataFrame) -> DataFrame:
     small = members.count() <= BROADCAST_MEMBERS
     chosen = (F.broadcast(members) if small else members).join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "cid", "check", "family", "chunk", "chunks", "text")
     sets = chosen.mapInArrow(_sets, MEMBERS).repartition(width, "family", "i", "j").sortWithinPartitions("family", "i", "j", "rep")
-    linked = sets.mapInArrow(_verify, EDGES)
+    # rows of whole sets: few to an Arrow batch, so that a batch of long ones stays small
+    rows_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(rows_key)
+    spark.conf.set(rows_key, 256)
+    linked = materialise(sets.mapInArrow(_verify, EDGES), "links")
+    spark.conf.set(rows_key, usual)
 
     ids = rows.join(classes.select("cid", "check", "n", "rep"), ["cid", "check", "n"], "left")
     several = ids.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps")).filter("a < b")
