@@ -1,0 +1,4 @@
+"""The registry is published as whole snapshots; late registrations arrive in the next one, which replaces it.
+
+No operator here keeps state across micro-batches, and so there is no streaming plan.
+"""
