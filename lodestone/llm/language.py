@@ -143,25 +143,29 @@ def fit(texts: list[str | None], languages: list[str], clusters: int = CLUSTERS,
     return model
 
 
-def sample(docs: DataFrame, label: str, per_label: int) -> list[tuple]:
+def sample(labelled: DataFrame, docs: DataFrame, label: str, per_label: int) -> list[tuple]:
     """At most ``per_label`` ``(text, label)`` of each label, those with the least hash of the id.
 
+    ``labelled`` has doc_id and label, ``docs`` doc_id and text.  Only ids are ranked; the few chosen ones are
+    broadcast to one scan of the texts.
+
     A cut on the hash, from the labels' counts, leaves about twice as many before any are ranked, so no task
     meets a whole label.
     """
     spark = docs.sparkSession
-    ids = docs.select("doc_id", label).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    ids = labelled.select("doc_id", label).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     sizes = [(r[label], r["n"]) for r in ids.groupBy(label).agg(F.count("*").alias("n")).collect()]
     if not sizes:
         return []
     span = 1 << 30
-    cuts = spark.createDataFrame([(k, min(span, -(-span * 2 * per_label // n))) for k, n in sizes], f"{label} {dict(docs.dtypes)[label]}, cut long")
+    cuts = spark.createDataFrame([(k, min(span, -(-span * 2 * per_label // n))) for k, n in sizes], f"{label} {dict(labelled.dtypes)[label]}, cut long")
     order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(span))
     near = ids.join(F.broadcast(cuts), label).filter(order < F.col("cut")).withColumn("order", order).dropDuplicates(["doc_id"])
     chosen = near.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy("order", "doc_id"))).filter(F.col("rank") <= per_label)
-    chosen = spark.createDataFrame([(r["doc_id"],) for r in chosen.select("doc_id").collect()], "doc_id long")
-    got = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", label).collect()
-    return [(r["text"], r[label]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"] or ""))]
+    labels = {r["doc_id"]: r[label] for r in chosen.select("doc_id", label).collect()}
+    wanted = spark.createDataFrame([(k,) for k in labels], "doc_id long")
+    got = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").collect()
+    return [(r["text"], labels[r["doc_id"]]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"] or ""))]
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -26,8 +26,8 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    known = docs.join(labels.filter(~_held_out(5, 0)), "doc_id")
-    sample = language.sample(known, "toxic", toxicity.PER_CLASS)
+    known = labels.filter(~_held_out(5, 0)).join(docs.select("doc_id"), "doc_id", "left_semi")
+    sample = language.sample(known, docs, "toxic", toxicity.PER_CLASS)
     model = toxicity.fit([t for t, _ in sample], [y for _, y in sample])
     return toxicity.score(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
 
@@ -58,7 +58,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    sample = language.sample(docs.filter(~_held_out(4, 2)), "lang", language.PER_LANGUAGE)
+    sample = language.sample(docs.select("doc_id", "lang").filter(~_held_out(4, 2)), docs, "lang", language.PER_LANGUAGE)
     model = language.fit([t for t, _ in sample], [x for _, x in sample])
     return language.identify(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
