@@ -68,7 +68,8 @@ def trigram_query(pattern: str) -> Query:
     def close(runs: set[str]) -> None:
         """The runs of text read so far are whole: one of them is in any match."""
         if runs and all(len(x) >= 3 for x in runs):
-            query.append(sorted({frozenset(x[i:i + 3] for i in range(len(x) - 2)) for x in runs}, key=sorted))
+            some = {frozenset(x[i:i + 3] for i in range(len(x) - 2)) for x in runs}
+            query.append(sorted((x for x in some if not any(y < x for y in some)), key=sorted))  # a longer literal asks no less
 
     def exact(tree) -> set[str] | None:
         """All texts that ``tree`` can match, if they are few."""
