@@ -9,7 +9,8 @@ Two documents link when the Jaccard similarity of their sets of five-word shingl
 2. *Buckets.*  In the order (documents of the slot, hash) a set's first ``n - ceil(0.8 n) + 1`` shingles must
    hold one of any set it links with.  Classes that share such a shingle meet in a bucket.  Shingles of
    boilerplate come last in the order, so buckets are small unless texts are boilerplate throughout.
-   Buckets with the same members are looked at once.
+   Buckets with the same members are looked at once; one of over ``BUCKET`` classes is dealt into parts, of which
+   each two meet in a task of their own.
 3. *R-trees.*  A class is the point of its counts of shingles in hash groups (``GROUPS``, more for large sets, in
    which case boxes are on the coarser of two grids).  The sum of the
    coordinates' minima of two points bounds their overlap, the sum of the minima of two boxes' upper corners
@@ -52,6 +53,8 @@ CHUNK_SHINGLES = 1_000_000
 BROADCAST_MEMBERS = 1_000_000
 #: A longer bucket is not compared with others member by member; it is looked at on its own.
 LONGEST_KNOWN = 1_000_000
+#: Classes of a bucket that one task's tree holds; a task of a larger bucket holds two such parts.
+BUCKET = 16_384
 
 POINTS = "doc_id long, cid long, check long, n long, counts binary"
 
@@ -159,6 +162,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (token, cid) in; ``(bucket, cid)`` of the tokens with two classes or more out."""
     rest_t, rest_c = np.zeros(0, np.int64), np.zeros(0, np.int64)
     known: set[int] = set()
+    long: int | None = None  # the token whose first pieces are out
 
     def cut(t: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.ones(len(t), bool)
@@ -166,13 +170,16 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, c = t[first], c[first]
         starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(t)]]))
-        several = sizes > 1
+        several = (sizes > 1) | (t[starts] == long) if long is not None else sizes > 1
         if not several.any():
             return
         starts, sizes = starts[several], sizes[several]
         rows = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         heads = np.cumsum(sizes) - sizes
         name = mix(np.add.reduceat(mix(c[rows].view(np.uint64)), heads) + sizes.astype(np.uint64)).view(np.int64)
+        if long is not None and t[starts[0]] == long:
+            name[0] = long  # the rest joins the pieces under the token
+            known.discard(long)
         fresh = np.zeros(len(name), bool)
         for k, x in enumerate(name.tolist()):
             if x not in known:
@@ -190,13 +197,17 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         stop = int(np.searchsorted(t, t[-1], side="left"))
         if len(t) - stop > LONGEST_KNOWN:  # one bucket without end: it goes out under its token, piece by piece
-            yield pa.RecordBatch.from_arrays([pa.array(t[stop:-1]), pa.array(c[stop:-1])], ["bucket", "cid"])
-            yield from cut(t[:stop], c[:stop])
+            if stop:
+                yield from cut(t[:stop], c[:stop])
+            yield pa.RecordBatch.from_arrays([pa.array(t[stop:]), pa.array(c[stop:])], ["bucket", "cid"])
+            long = int(t[-1])
             rest_t, rest_c = t[-1:], c[-1:]
             continue
-        yield from cut(t[:stop], c[:stop])
+        if stop:
+            yield from cut(t[:stop], c[:stop])
         rest_t, rest_c = t[stop:], c[stop:]
-    yield from cut(rest_t, rest_c)
+    if len(rest_t):
+        yield from cut(rest_t, rest_c)
 
 
 class Forest:
@@ -312,14 +323,14 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``bucket, rep, n, counts`` sorted by bucket in; edges of the forests of the bounds out."""
+    """``bucket, i, j, rep, n, counts`` sorted by bucket, i, j in; edges of the forests of the bounds out."""
     out: list[tuple[int, int]] = []
     done: set[tuple[int, int]] = set()
-    for table in _runs(batches, 1):
-        reps, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
+    for table in _runs(batches, 3):
+        reps, sizes = table.column(3).to_numpy(), table.column(4).to_numpy()
         if len(reps) == 2 and (5 * sizes.min() < 4 * sizes.max() or (reps[0], reps[1]) in done):
             continue
-        vectors = [vector_of(x) for x in table.column(3).to_pylist()]
+        vectors = [vector_of(x) for x in table.column(5).to_pylist()]
         found = []
         for at, points in grids(vectors, sizes):
             if len(at) == 2:
@@ -428,6 +439,18 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def in_parts(met: DataFrame, most: int) -> DataFrame:
+    """``bucket, cid, i, j``: members of buckets of over ``most`` dealt into parts, a row for each two parts that meet.
+
+    Only the large buckets' sizes are joined back, so at run time this is a broadcast where they are few.
+    """
+    large = met.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).filter("parts > 1")
+    dealt = met.join(large, "bucket", "left").withColumn("part", F.expr("cast(pmod(xxhash64(cid), parts) as int)"))
+    others = F.explode(F.expr("if(parts is null, array(0), filter(sequence(0, parts - 1), k -> k <> part))")).alias("k")
+    part = F.coalesce("part", F.lit(0))
+    return dealt.select("bucket", "cid", part.alias("part"), others).select("bucket", "cid", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each of ``docs``."""
     spark = docs.sparkSession
@@ -446,8 +469,9 @@ def join(docs: DataFrame) -> DataFrame:
     tokens = texts.filter("doc_id is not null").select("text").mapInArrow(_prefixes(order), "token long, cid long")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = tokens.repartition(width, "token").sortWithinPartitions("token", "cid").mapInArrow(_buckets, "bucket long, cid long").distinct()
-    vectors = met.join(classes.select("cid", "rep", "n", "counts"), "cid").select("bucket", "rep", "n", "counts")
-    near = vectors.repartition(width, "bucket").sortWithinPartitions("bucket", "rep").mapInArrow(_families, EDGES)
+    parts = in_parts(materialise(met, "buckets"), BUCKET)
+    vectors = parts.join(classes.select("cid", "rep", "n", "counts"), "cid").select("bucket", "i", "j", "rep", "n", "counts")
+    near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep").mapInArrow(_families, EDGES)
     families = components(near)
 
     members = families.select(F.col("node").alias("rep"), F.col("root").alias("family"))

@@ -7,6 +7,7 @@ from collections import Counter
 from datetime import date
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,11 +49,34 @@ def test_ngram_join(docs, texts):
 
 def test_ngram_join_chunks(docs, texts, monkeypatch):
     monkeypatch.setattr(ngramjoin, "CHUNK", 3)
+    monkeypatch.setattr(ngramjoin, "BUCKET", 2)
     monkeypatch.setattr(ngramjoin, "BROADCAST_MEMBERS", 0)
     got = {r.doc_id: r.component_id for r in ngramjoin.join(docs.unionByName(docs)).collect()}
     assert got == {i: c for i, (_, c) in components(texts).items()}
 
 
+def test_long_buckets_stay_together(monkeypatch):
+    monkeypatch.setattr(ngramjoin, "LONGEST_KNOWN", 7)
+    members = {-5: range(3), 1: range(40), 2: range(1), 3: range(41), 4: range(9), 8: range(8, 9)}
+    rows = [(t, c) for t, cs in members.items() for c in cs]
+    for step in (1, 3, 10, 200):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[k:k + step], strict=True)], ["token", "cid"]) for k in range(0, len(rows), step)]
+        out: dict[int, set[int]] = {}
+        for b in ngramjoin._buckets(iter(batches)):
+            for bucket, cid in zip(*map(pa.Array.to_pylist, b.columns), strict=True):
+                out.setdefault(bucket, set()).add(cid)
+        assert all(set(cs) in out.values() for cs in members.values() if len(cs) > 1), step
+
+
+def test_parts_of_a_bucket_all_meet(spark):
+    met = spark.createDataFrame([(1, c) for c in range(60)] + [(2, c) for c in range(3)], "bucket long, cid long")
+    tasks: dict[tuple, set[int]] = {}
+    for r in ngramjoin.in_parts(met, 10).collect():
+        tasks.setdefault((r.bucket, r.i, r.j), set()).add(r.cid)
+    assert tasks[2, 0, 0] == {0, 1, 2} and len(tasks) == 16
+    assert all(any({a, b} <= t for k, t in tasks.items() if k[0] == 1) for a in range(60) for b in range(a))
+
+
 def test_count_tree_keeps_every_pair():
     rng = np.random.default_rng(3)
     points = rng.integers(0, 6, (300, 8))
