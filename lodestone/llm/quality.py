@@ -30,10 +30,11 @@ STOP_WORDS = (
 ).split()
 
 #: name: (measure, least, most, from how many words on).  None: no bound.  The rules reject only what no prose
-#: is: symbol soup, one word without end, texts that are mostly repeated lines or bullets.
+#: is: symbol soup, one word without end, texts that are mostly repeated lines or bullets.  Symbols are held
+#: against words, at most one to ten: against characters, the bars of a menu ("word | word") would hide.
 RULES: dict[str, tuple[str, float | None, float | None, int]] = {
     "mean_word_chars": ("word_chars / n_words", 2.0, 25.0, 20),
-    "symbol_share": ("n_symbols / word_chars", None, 0.15, 20),
+    "symbol_share": ("n_symbols / n_words", None, 0.1, 20),
     "stop_word_share": ("n_stop_words / n_words", 0.005, None, 200),
     "repeated_line_share": ("n_dup_lines / n_lines", None, 0.5, 20),
     "bullet_line_share": ("n_bullet_lines / n_lines", None, 0.9, 20),

@@ -1,17 +1,19 @@
 """The operators against brute force, and their defined cases."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
 from datetime import date
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, language, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter, warc
+from lodestone.llm import decontaminate, language, linededup, ngramjoin, oracle, packing, quality, secrets, toxicity, urlfilter, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -141,6 +143,20 @@ def test_quality(spark, docs, texts):
     assert kept.columns == docs.columns and kept.count() == quality.judge(docs.select("doc_id", "text")).filter("kept").count()
 
 
+def test_symbols_are_held_against_words(spark):
+    """Menus go, clean prose stays; the SQL built from the rules says the same."""
+    rng = random.Random(7)
+    words = [f"reading{rng.randrange(10**6)}" for _ in range(300)]
+    texts = {1: " | ".join(words), 2: " ".join(words[:150]) + " the of and.", 3: " | ".join(words[:10]), 4: " ".join([*words[:90], *["#"] * 10]), 5: " ".join([*words[:90], *["#"] * 11])}
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in quality.judge(documents).collect()} == {1: False, 2: True, 3: False, 4: True, 5: False}
+    assert {r.doc_id for r in quality.keep_good(documents).collect()} == {2, 4}
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(texts.items()))
+    assert dict(con.sql(f"select doc_id, kept from ({oracle.oracle_sql()['op5_quality_rules']})").fetchall()) == {1: False, 2: True, 3: False, 4: True, 5: False}
+
+
 def item_words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t or ""))
 
