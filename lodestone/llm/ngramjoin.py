@@ -19,12 +19,15 @@ Two documents link when the Jaccard similarity of their sets of five-word shingl
    bucket, and pairs already in one family are passed over.
 4. *Verification.*  A family's sets meet, at most ``CHUNK`` sets and ``CHUNK_SHINGLES`` shingles to a task: a
    large family is dealt into chunks, and each two chunks meet in a task of their own.  Overlaps are counted
-   exactly through an inverted index of the chunk; again only a spanning forest of the links leaves.
+   exactly through an inverted index of the chunk; a spanning forest of the links leaves, and for each class
+   the number of texts that it links with, each pair of classes being met in one task only.
 5. *Components* of the forests are found by large-star and small-star steps on tables.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case.  Defined cases: with under five words
 the whole sequence is the one shingle; null, empty and blank texts have none and link with nothing (their
 component is their own id); rows that share a doc_id count as one node; a null doc_id gets a null component;
+``n_links`` counts the texts other than the row's own that link with it, a text being a doc_id with a set, so that
+repeated rows count once and an id with two sets twice; it is null for a null doc_id;
 repeated rows get a row each; an empty table gives no rows; extra columns are ignored.  Hashes have 64 bits.
 """
 
@@ -323,12 +326,12 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``bucket, i, j, rep, n, counts`` sorted by bucket, i, j in; edges of the forests of the bounds out."""
+    """``bucket, i, j, cid, n, counts`` sorted by bucket, i, j in; edges of the forests of the bounds out."""
     out: list[tuple[int, int]] = []
     done: set[tuple[int, int]] = set()
     for table in _runs(batches, 3):
-        reps, sizes = table.column(3).to_numpy(), table.column(4).to_numpy()
-        if len(reps) == 2 and (5 * sizes.min() < 4 * sizes.max() or (reps[0], reps[1]) in done):
+        cids, sizes = table.column(3).to_numpy(), table.column(4).to_numpy()
+        if len(cids) == 2 and (5 * sizes.min() < 4 * sizes.max() or (cids[0], cids[1]) in done):
             continue
         vectors = [vector_of(x) for x in table.column(5).to_pylist()]
         found = []
@@ -339,7 +342,7 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif len(at) > 2:
                 found += [(int(at[i]), int(at[j])) for i, j in CountTree(points, sizes[at]).forest()]
         for i, j in found:
-            pair = (int(reps[i]), int(reps[j]))
+            pair = (int(cids[i]), int(cids[j]))
             if pair not in done:
                 if len(done) < 1_000_000:
                     done.add(pair)
@@ -350,41 +353,50 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edge_batch(out)
 
 
-MEMBERS = "family long, i int, j int, chunk int, rep long, n long, shingles binary"
+MEMBERS = "family long, i int, j int, chunk int, cid long, check long, rep long, docs long, n long, shingles binary"
+LINKS = "a long, b long, cid long, check long, links long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``rep, cid, check, family, chunk, chunks, text`` in; the rep's set, once for each task it takes part in, out."""
-    names = ["family", "i", "j", "chunk", "rep", "n", "shingles"]
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    """``rep, docs, cid, check, family, chunk, chunks, text`` in; the class's set, once for each task it takes part in, out."""
+    names = ["family", "i", "j", "chunk", "cid", "check", "rep", "docs", "n", "shingles"]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     for batch in batches:
-        cols = [batch.column(k).to_pylist() for k in range(6)]
-        for row, (rep, cid, check, family, chunk, chunks) in enumerate(zip(*cols, strict=True)):
-            s = next(shingle_sets(batch.column(6).slice(row, 1)))
+        cols = [batch.column(k).to_pylist() for k in range(7)]
+        for row, (rep, docs, cid, check, family, chunk, chunks) in enumerate(zip(*cols, strict=True)):
+            s = next(shingle_sets(batch.column(7).slice(row, 1)))
             if class_ids(s) != (cid, check):
                 continue  # another text under the same doc_id
             data = s.tobytes()
             for at in range(0, chunks, 64):
                 others = range(at, min(chunks, at + 64))
-                rows = [(family, min(chunk, k), max(chunk, k), chunk, rep, len(s), data) for k in others]
+                rows = [(family, min(chunk, k), max(chunk, k), chunk, cid, check, rep, docs, len(s), data) for k in others]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact links within each task's sets, as a spanning forest."""
+    """Exact links within each task's sets: a spanning forest, and the texts each class links with."""
+    kinds = [pa.int64()] * 5
+    names = ["a", "b", "cid", "check", "links"]
     for table in _runs(batches, 3):
         across = table.column(1)[0].as_py() != table.column(2)[0].as_py()
-        chunk = table.column(3).to_numpy()
-        reps, first = np.unique(table.column(4).to_numpy(), return_index=True)
-        chunk, sizes = chunk[first], table.column(5).to_numpy()[first]
-        data = table.column(6).combine_chunks()
+        _, first = np.unique(np.stack([table.column(4).to_numpy(), table.column(5).to_numpy()]), axis=1, return_index=True)
+        chunk, cid, check, reps, docs, sizes = (table.column(k).to_numpy()[first] for k in range(3, 9))
+        data = table.column(9).combine_chunks()
         sets = [np.frombuffer(data[int(k)].as_buffer(), np.uint64) for k in first]
-        yield _edge_batch([(int(reps[i]), int(reps[j])) for i, j in links(sets, sizes, chunk if across else None)])
+        edges, linked = links(sets, sizes, chunk if across else None, docs)
+        some = np.flatnonzero(linked)
+        rows = [(int(reps[i]), int(reps[j]), None, None, None) for i, j in edges]
+        rows += [(None, None, int(cid[k]), int(check[k]), int(linked[k])) for k in some]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def links(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of ``sets`` that link; with ``side``, of the pairs from two sides."""
+def links(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray | None, docs: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A spanning forest of the pairs of ``sets`` that link, with ``side`` of the pairs from two sides; and for
+    each set the sum of ``docs`` over all sets it is paired with."""
     n = len(sets)
+    linked = np.zeros(n, np.int64)
     joined, edges = Forest(n), []
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(n), sizes)
@@ -409,10 +421,13 @@ def links(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray | None = N
         ok = reaches(overlap, sizes + sizes[i]) & (overlap > 0)
         if side is not None:
             ok &= side != side[i]
-        for j in np.flatnonzero(ok).tolist():
+        found = np.flatnonzero(ok)
+        linked[found] += docs[i]
+        linked[i] += docs[found].sum()
+        for j in found.tolist():
             if joined.join(i, j):
                 edges.append((i, j))
-    return edges
+    return edges, linked
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -452,7 +467,7 @@ def in_parts(met: DataFrame, most: int) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of each of ``docs``."""
+    """``doc_id, n_shingles, component_id, n_links`` of each of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     points = materialise(texts.mapInArrow(_points, POINTS), "points")
@@ -464,39 +479,44 @@ def join(docs: DataFrame) -> DataFrame:
 
     rows = points.filter("n >= 0").select("doc_id", "cid", "check", "n")
     held = points.filter("n > 0 and doc_id is not null")
-    classes = materialise(held.groupBy("cid", "check", "n").agg(F.min("doc_id").alias("rep"), F.first("counts").alias("counts")), "classes")
+    classes = materialise(held.groupBy("cid", "check", "n").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"), F.first("counts").alias("counts")), "classes")
 
     tokens = texts.filter("doc_id is not null").select("text").mapInArrow(_prefixes(order), "token long, cid long")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = tokens.repartition(width, "token").sortWithinPartitions("token", "cid").mapInArrow(_buckets, "bucket long, cid long").distinct()
     parts = in_parts(materialise(met, "buckets"), BUCKET)
-    vectors = parts.join(classes.select("cid", "rep", "n", "counts"), "cid").select("bucket", "i", "j", "rep", "n", "counts")
-    near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep").mapInArrow(_families, EDGES)
+    vectors = parts.join(classes.select("cid", "n", "counts"), "cid").select("bucket", "i", "j", "cid", "n", "counts")
+    near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cid").mapInArrow(_families, EDGES)
     families = components(near)
 
-    members = families.select(F.col("node").alias("rep"), F.col("root").alias("family"))
-    members = members.unionByName(members.select(F.col("family").alias("rep"), "family").distinct())
-    members = members.join(classes.select("rep", "cid", "check", "n"), "rep")
+    members = families.select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    members = members.unionByName(members.select(F.col("family").alias("cid"), "family").distinct())
+    members = members.join(classes.select("rep", "docs", "cid", "check", "n"), "cid")
     load = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("held"))
     chunks = F.greatest(F.ceil(F.col("sets") / CHUNK), F.ceil(F.col("held") / CHUNK_SHINGLES)).cast("int")
     members = materialise(members.join(load.select("family", chunks.alias("chunks")), "family").select(
-        "rep", "cid", "check", "family", F.pmod(F.xxhash64("cid", "check"), F.col("chunks")).cast("int").alias("chunk"), "chunks"), "members")
+        "rep", "docs", "cid", "check", "family", F.pmod(F.xxhash64("cid", "check"), F.col("chunks")).cast("int").alias("chunk"), "chunks"), "members")
     small = members.count() <= BROADCAST_MEMBERS
-    chosen = (F.broadcast(members) if small else members).join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "cid", "check", "family", "chunk", "chunks", "text")
-    sets = chosen.mapInArrow(_sets, MEMBERS).repartition(width, "family", "i", "j").sortWithinPartitions("family", "i", "j", "rep")
+    chosen = (F.broadcast(members) if small else members).join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "docs", "cid", "check", "family", "chunk", "chunks", "text")
+    sets = chosen.mapInArrow(_sets, MEMBERS).repartition(width, "family", "i", "j").sortWithinPartitions("family", "i", "j", "cid", "check")
     # rows of whole sets: few to an Arrow batch, so that a batch of long ones stays small
     rows_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows_key)
     spark.conf.set(rows_key, 256)
-    linked = materialise(sets.mapInArrow(_verify, EDGES), "links")
+    linked = materialise(sets.mapInArrow(_verify, LINKS), "links")
     spark.conf.set(rows_key, usual)
 
-    ids = rows.join(classes.select("cid", "check", "n", "rep"), ["cid", "check", "n"], "left")
+    ids = rows.join(classes.select("cid", "check", "n", "rep", "docs"), ["cid", "check", "n"], "left")
     several = ids.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps")).filter("a < b")
     same_id = several.select("a", F.explode("reps").alias("b")).filter("a <> b")
-    roots = components(linked.unionByName(same_id))
+    roots = components(linked.filter("a is not null").select("a", "b").unionByName(same_id))
     out = ids.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id"))
+    counted = linked.filter("a is null").groupBy("cid", "check").agg(F.sum("links").alias("links"))
+    out = out.join(counted, ["cid", "check"], "left")
+    others = F.coalesce(F.col("docs") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
+    return out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), others).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def _held_out(of: int, left: int):
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramjoin.join(_table(spark, sf_dir, "documents"))
+    return ngramjoin.join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

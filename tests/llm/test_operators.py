@@ -57,6 +57,24 @@ def test_ngram_join_chunks(docs, texts, monkeypatch):
     assert got == {i: c for i, (_, c) in components(texts).items()}
 
 
+@pytest.mark.parametrize("chunk", [3, 2048])
+def test_ngram_join_counts_links(spark, docs, texts, chunk, monkeypatch):
+    """Every link counts, also inside a joined set; ids with two texts, repeated rows and null ids as stated."""
+    monkeypatch.setattr(ngramjoin, "CHUNK", chunk)
+    own = [t for t in texts.values() if len(shingles(t)) > 60][:2]
+    more = [(1000, own[0]), (1000, own[1]), (1001, own[1] + " end"), (1001, own[1] + " end"), (1002, own[0] + " end"), (None, own[0])]
+    rows = [(i, t) for i, t in texts.items()] + more
+    nodes = {(i, frozenset(shingles(t))) for i, t in rows if i is not None}
+    want = Counter()
+    for i, t in rows:
+        s = frozenset(shingles(t))
+        n = sum(100 * len(s & o) >= 80 * len(s | o) for j, o in nodes if s and (j, o) != (i, s))
+        want[i, len(s), n if i is not None else None] += 1
+    got = ngramjoin.join(docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got) == want
+    assert len({r.component_id for r in got if r.doc_id in (1000, 1001, 1002)}) == 1
+
+
 def test_long_buckets_stay_together(monkeypatch):
     monkeypatch.setattr(ngramjoin, "LONGEST_KNOWN", 7)
     members = {-5: range(3), 1: range(40), 2: range(1), 3: range(41), 4: range(9), 8: range(8, 9)}
