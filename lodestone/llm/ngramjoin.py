@@ -520,6 +520,17 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the one with the least doc_id; rows without id stay."""
-    found = join(docs.select("doc_id", "text")).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each group of linked texts, the one with the least doc_id, null ids last.
+
+    Rows are told apart by a number written beside them, so repeated rows and rows without id are compared like
+    any other, and rows that only share an id stay.  Texts without words link with nothing and stay.
+    """
+    keyed = materialise(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    found = join(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
+    found = materialise(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")), "groups")
+    several = found.filter("key <> group").select("group").distinct()
+    place = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), "key")
+    members = found.join(several, "group", "left_semi").join(keyed.select("key", place.alias("place")), "key")
+    kept = members.groupBy("group").agg(F.min("place")["key"].alias("kept"))
+    gone = members.join(kept, "group").filter("key <> kept").select("key")
+    return keyed.join(gone, "key", "left_anti").select("row.*")

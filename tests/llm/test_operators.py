@@ -75,6 +75,19 @@ def test_ngram_join_counts_links(spark, docs, texts, chunk, monkeypatch):
     assert len({r.component_id for r in got if r.doc_id in (1000, 1001, 1002)}) == 1
 
 
+def test_keep_one_row_of_each_group(spark, docs, texts):
+    """Repeated rows, null ids and ids with two texts: one row of each group, rows that only share an id stay."""
+    own = [t for t in texts.values() if len(shingles(t)) > 60][:1]
+    alone = "only here " + " ".join(f"z{k}" for k in range(80))
+    more = [(2000, alone), (2000, alone), (None, alone), (None, own[0]), (2000, alone.replace("z", "y")), (None, alone.replace("z", "x")), (None, alone.replace("z", "x")), (2001, None), (2001, None)]
+    rows = sorted([*texts.items(), *more], key=lambda r: (r[0] is None, r[0] or 0))
+    want = [rows[i] for i, (_, c) in components({i: t for i, (_, t) in enumerate(rows)}).items() if i == c]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).withColumn("key", F.lit("clash"))
+    left = ngramjoin.keep_one(both)
+    assert left.columns == both.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(want)
+
+
 def test_long_buckets_stay_together(monkeypatch):
     monkeypatch.setattr(ngramjoin, "LONGEST_KNOWN", 7)
     members = {-5: range(3), 1: range(40), 2: range(1), 3: range(41), 4: range(9), 8: range(8, 9)}
