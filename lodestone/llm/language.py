@@ -29,6 +29,8 @@ from pyspark.sql.window import Window
 DIMS = 1 << 14
 GRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 600
+#: Bytes of the longest text that a sample takes.
+LONGEST_FITTED = 1 << 16
 CLUSTERS = 3
 REJECT = 0.01
 #: A cluster with a smaller share of its language's texts is noise and gets no centroid.
@@ -150,7 +152,8 @@ def sample(labelled: DataFrame, docs: DataFrame, label: str, per_label: int) ->
     broadcast to one scan of the texts.
 
     A cut on the hash, from the labels' counts, leaves about twice as many before any are ranked, so no task
-    meets a whole label.
+    meets a whole label.  An id with two labels counts under the lesser.  Texts of over ``LONGEST_FITTED`` bytes are
+    left out of the sample, so that what reaches the driver is bounded in bytes too.
     """
     spark = docs.sparkSession
     ids = labelled.select("doc_id", label).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -160,11 +163,12 @@ def sample(labelled: DataFrame, docs: DataFrame, label: str, per_label: int) ->
     span = 1 << 30
     cuts = spark.createDataFrame([(k, min(span, -(-span * 2 * per_label // n))) for k, n in sizes], f"{label} {dict(labelled.dtypes)[label]}, cut long")
     order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(span))
-    near = ids.join(F.broadcast(cuts), label).filter(order < F.col("cut")).withColumn("order", order).dropDuplicates(["doc_id"])
+    near = ids.join(F.broadcast(cuts), label).filter(order < F.col("cut")).groupBy("doc_id").agg(F.min(label).alias(label)).withColumn("order", order)
     chosen = near.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy("order", "doc_id"))).filter(F.col("rank") <= per_label)
     labels = {r["doc_id"]: r[label] for r in chosen.select("doc_id", label).collect()}
     wanted = spark.createDataFrame([(k,) for k in labels], "doc_id long")
-    got = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").collect()
+    whole = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST_FITTED)
+    got = whole.join(F.broadcast(wanted), "doc_id").collect()
     return [(r["text"], labels[r["doc_id"]]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"] or ""))]
 
 

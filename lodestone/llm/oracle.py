@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import quality, secrets
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "list_filter(regexp_split_to_array(coalesce({}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
@@ -17,10 +17,35 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.
 l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
 e AS (SELECT a, b FROM l UNION SELECT b, a FROM l UNION SELECT doc_id, doc_id FROM documents),
 r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id,
+  (SELECT count(*) FROM e WHERE e.a = d.doc_id AND e.b <> d.doc_id)::BIGINT AS n_links
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) c ON c.a = d.doc_id
 """
 
+
+
+def _op3() -> str:
+    """Base kinds with their least lengths inside the expressions: a maximal run of a class has its length or none of it."""
+    low = _LOWER.format("text")
+    kinds = [("assign", low, "(password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?([a-z0-9+/_.=-]+)", 2, 6),
+             ("access", "text", "AKIA[A-Z0-9]{16,}", 0, 20), ("hex", "text", "[0-9a-f]{24,}", 0, 24)]
+    kinds += [(r.kind, "text", r.pattern, r.group, r.least) for r in secrets.MORE]
+    each = "\nUNION ALL\n".join(
+        f"SELECT doc_id, text_id, '{kind}' AS kind, {k} AS ord, unnest(range(len(hit))) AS i, unnest(hit) AS m, unnest(grp) AS g, unnest(gap[:len(hit)]) AS gap, {least} AS least FROM ("
+        f"SELECT doc_id, text_id, regexp_extract_all({of}, '{rx}') AS hit, regexp_extract_all({of}, '{rx}', {group}) AS grp, string_split_regex({of}, '{rx}') AS gap FROM d WHERE regexp_matches({of}, '{rx}'))"
+        for k, (kind, of, rx, group, least) in enumerate(kinds))
+    name = "concat_ws(':', kind, stop - length(m), stop)"
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS text_id, coalesce(text, '') AS text FROM documents),
+m AS ({each}),
+p AS (SELECT *, (sum(length(gap) + length(m)) OVER (PARTITION BY text_id, kind ORDER BY i))::BIGINT AS stop FROM m),
+s AS (SELECT text_id, count(*) FILTER (WHERE ord = 0) AS n_assign, count(*) FILTER (WHERE ord = 1) AS n_access, count(*) FILTER (WHERE ord = 2) AS n_hex,
+    string_agg({name}, ',' ORDER BY stop - length(m), ord) FILTER (WHERE ord < 3) AS base, string_agg({name}, ',' ORDER BY stop - length(m), ord) AS spans FROM p WHERE length(g) >= least GROUP BY text_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN s USING (text_id)
+"""
+
+
 OP4 = f"""
 WITH l AS (
   SELECT doc_id, pos, line, len({_WORDS.format('line')}) AS w FROM (
@@ -115,6 +140,6 @@ SELECT page_id, payload_bytes, payload_digest,
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_ngram_jaccard_join": OP1, "op4_line_dedup": OP4, "op5_quality_rules": _op5(), "op7_decontamination": OP7,
+        "op1_ngram_jaccard_join": OP1, "op3_secret_scan": _op3(), "op4_line_dedup": OP4, "op5_quality_rules": _op5(), "op7_decontamination": OP7,
         "op8_url_filter": OP8, "op10_warc": OP10,
     }

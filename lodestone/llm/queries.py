@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, language, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter, warc
@@ -20,26 +20,33 @@ def _held_out(of: int, left: int):
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramjoin.join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngramjoin.join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
-def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
     known = labels.filter(~_held_out(5, 0)).join(docs.select("doc_id"), "doc_id", "left_semi")
     sample = language.sample(known, docs, "toxic", toxicity.PER_CLASS)
-    model = toxicity.fit([t for t, _ in sample], [y for _, y in sample])
-    return toxicity.score(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
+    return toxicity.fit([t for t, _ in sample], [y for _, y in sample])
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity_model(spark, sf_dir)).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s.ord < len(secrets.BASE))
 
-    def joined(spans):
+    def count(order: int, kind: str) -> Column:  # one parameter: a second would be the element's place
+        return F.size(F.filter("spans", lambda s: s.ord == F.lit(order))).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, i=i: s.ord == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(secrets.BASE)]
+    counts = [count(i, r.kind) for i, r in enumerate(secrets.BASE)]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 

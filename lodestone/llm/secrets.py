@@ -2,9 +2,11 @@
 
 Each rule's regular expression is parsed and turned into a Boolean query over trigrams that any match must
 hold: an AND of clauses, a clause being an OR of literals, a literal the AND of its trigrams.  The trigrams
-that the queries mention are indexed, as ``(trigram, document)`` postings of the lower-cased texts; rules are
-answered by intersecting postings, and only candidates are searched with the expression itself.  A rule
-without mandatory trigrams searches every text.  Built-in functions only.
+that the queries mention are indexed: a written table of ``(trigram, document)`` postings of the lower-cased
+texts, sorted by trigram.  Rules are answered by intersecting postings, all clauses in one pass: the lists of a
+literal's trigrams are cut with each other, those of a clause's literals united, those of a rule's clauses cut
+again.  Only candidates are searched with the expression itself.  A rule without mandatory trigrams searches
+every text.  Built-in functions only.
 
 Matches are leftmost and do not overlap within a rule; offsets are code points.  Places come from the lengths
 of matches and of the text between them, summed in order, so a text with very many matches costs in
@@ -125,22 +127,28 @@ def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     return low.select(*KEY, F.explode(held).alias("trigram"))
 
 
-def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``doc_id, text_hash, rules``: the rules whose trigram query each document's postings answer."""
-    held = index.groupBy(*KEY).agg(F.collect_set("trigram").alias("t"))
-    found = []
+def asked(rules: tuple[Rule, ...] = RULES) -> list[tuple]:
+    """``rule, clause, literal, trigram, held, clauses``: a row for each trigram of each literal of the queries."""
+    rows = []
     for rule in rules:
-        holds = F.lit(True)
-        for clause in trigram_query(rule.pattern):
-            some = F.lit(False)
-            for literal in clause:
-                every = F.lit(True)
-                for t in sorted(literal):
-                    every &= F.array_contains("t", t)
-                some |= every
-            holds &= some
-        found.append(F.when(holds, F.lit(rule.kind)))
-    return held.select(*KEY, F.array_compact(F.array(*found)).alias("rules")).filter(F.size("rules") > 0)
+        query = trigram_query(rule.pattern)
+        for i, clause in enumerate(query):
+            for j, literal in enumerate(clause):
+                rows += [(rule.kind, i, j, t, len(literal), len(query)) for t in sorted(literal)]
+    return rows
+
+
+def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``doc_id, text_hash, rules``: the rules whose trigram query each document's postings answer.
+
+    The queries are a small table, in proportion to the rules, and are broadcast to the index.  What is left of
+    the lists is dealt by document once; the three steps of the intersection need no further exchange.
+    """
+    table = index.sparkSession.createDataFrame(asked(rules), "rule string, clause int, literal int, trigram string, held int, clauses int")
+    lists = index.join(F.broadcast(table), "trigram").repartition(*KEY)
+    literals = lists.groupBy(*KEY, "rule", "clauses", "clause", "literal", "held").agg(F.collect_set("trigram").alias("t")).filter(F.size("t") == F.col("held"))
+    whole = literals.groupBy(*KEY, "rule", "clauses").agg(F.collect_set("clause").alias("c")).filter(F.size("c") == F.col("clauses"))
+    return whole.groupBy(*KEY).agg(F.collect_set("rule").alias("rules"))
 
 
 def _matches(texts: DataFrame, rule: Rule, order: int) -> DataFrame:
@@ -167,7 +175,8 @@ def spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, broadcast_keys: int
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
     out = None
     if indexed:
-        cands = materialise(candidates(postings(docs, vocabulary(indexed)), indexed), "secret-candidates")
+        index = materialise(postings(docs, vocabulary(indexed)).sortWithinPartitions("trigram"), "trigram-index")
+        cands = materialise(candidates(index, indexed), "secret-candidates")
         small = cands.count() <= broadcast_keys
         chosen = match(texts, F.broadcast(cands) if small else cands, KEY)
     for order, rule in enumerate(rules):
