@@ -82,12 +82,39 @@ def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
     return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
+#: Keys of rows (some 24 bytes each) up to which a set of decisions is broadcast to the texts.
+BROADCAST_KEYS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_KEYS) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``rows`` rows; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def words_of(text: Column | str) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` as an array; null text has none."""
     text = F.col(text) if isinstance(text, str) else text
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
+def with_hashes(df: DataFrame, words: str) -> DataFrame:
+    """``df`` with what :func:`window_hash` reads: hashes of each of ``words`` and of each four that follow one another.
+
+    They stay columns of their own, since an array inside another's lambda would be built for every element;
+    elements are taken one by one, since a slice inside a lambda copies the whole array.
+    """
+    df = df.withColumn("__h", F.transform(words, lambda w: F.xxhash64(w)))
+    return df.withColumn("__h4", F.transform("__h", lambda h, i: F.xxhash64(h, *[F.get("__h", i + k) for k in (1, 2, 3)])))
+
+
+def window_hash(size: int, at: Column) -> Column:
+    """Hash of the ``size`` words from place ``at`` (from 0) on, which the text must have."""
+    if size < 4:
+        return F.xxhash64(*[F.get("__h", at + k) for k in range(size)])
+    places = [*range(0, size - 3, 4), *([size - 4] if size % 4 else [])]
+    return F.xxhash64(*[F.get("__h4", at + k) for k in places])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  Pure ASCII takes the quick path of ``lower``."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -9,8 +9,9 @@ twice or more; window starts are found by sorting the 64-bit hashes of the windo
 have a repeated hash at all.
 
 Defined cases: null text has no words and fails for its length; blank text likewise; a text of under eight
-words has no window; repeated rows are judged alike; extra columns are kept, and a clash with a name of a
-measure is avoided, since the operator adds only the columns asked for; an empty table stays empty.
+words has no window; repeated rows are judged alike; extra columns are kept, and a column of
+the caller's that is named like one of those added (``quality``, ``base_failed``, ``kept``) is replaced; an empty
+table stays empty.  A text of 200 words or more in a language whose common words are not listed is rejected.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import window_hash, with_hashes, words_of
 
 WINDOW = 8
 #: Common words of English, French, German and Spanish.
@@ -43,10 +44,12 @@ RULES: dict[str, tuple[str, float | None, float | None, int]] = {
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one more column, the struct ``quality`` of all measures."""
-    t, words = F.coalesce(F.col(text), F.lit("")), "__words"
-    out = docs.withColumn(words, words_of(text)).withColumn("__n", F.size(words))
-    out = out.withColumn("__h", F.expr(f"if(__n < {WINDOW}, array(), transform(sequence(0, __n - {WINDOW}), i -> xxhash64(slice(__words, i + 1, {WINDOW}))))"))
-    out = out.withColumn("__lines", F.expr(r"filter(split(coalesce(%s, ''), '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')" % f"`{text}`"))
+    packed = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
+    t, words = F.coalesce(F.col("__text"), F.lit("")), "__words"
+    out = with_hashes(packed.withColumn(words, words_of("__text")).withColumn("__n", F.size(words)), words)
+    starts = F.when(F.col("__n") >= WINDOW, F.sequence(F.lit(0), F.col("__n") - WINDOW)).otherwise(F.array().cast("array<int>"))
+    out = out.withColumn("__w", F.transform(starts, lambda i: window_hash(WINDOW, i)))
+    out = out.withColumn("__lines", F.expr(r"filter(split(coalesce(%s, ''), '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')" % "__text"))
     out = out.withColumn("__q", F.struct(
         F.col("__n").cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
@@ -56,11 +59,12 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         F.expr(r"size(filter(__lines, l -> l rlike '^\\s*[-*•] '))").cast("long").alias("n_bullet_lines"),
         F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
     ))
-    out = out.withColumn("__d", F.expr("case when size(array_distinct(__h)) < size(__h) then sort_array(transform(__h, (h, i) -> struct(h, i))) end"))
-    out = out.drop("__words", "__lines", "__h", "__n")
+    out = out.withColumn("__d", F.expr("case when size(array_distinct(__w)) < size(__w) then sort_array(transform(__w, (h, i) -> struct(h, i))) end"))
+    out = out.drop("__words", "__lines", "__h", "__h4", "__w", "__n")
     out = out.withColumn("__p", F.expr("sort_array(transform(filter(__d, (x, i) -> get(__d, i - 1).h = x.h or get(__d, i + 1).h = x.h), x -> x.i))"))
     covered = F.expr(f"coalesce(aggregate(__p, struct(0L as n, -{WINDOW} as last), (a, p) -> struct(a.n + least({WINDOW}, p - a.last) as n, p as last), a -> a.n), 0L)")
-    return out.withColumn("quality", F.struct("__q.*", covered.alias("n_repeat_words"))).drop("__q", "__d", "__p")
+    own = [F.col("__row")[c].alias(c) for c in docs.columns if c != "quality"]
+    return out.select(*own, F.struct("__q.*", covered.alias("n_repeat_words")).alias("quality"))
 
 
 def base_failed(q: str = "quality") -> Column:
@@ -89,8 +93,7 @@ def judge(docs: DataFrame, text: str = "text", rules: dict[str, tuple] = RULES)
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
-    # a struct takes the caller's columns past any clash of names
-    packed = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
     # the counter keeps the optimiser from pushing the filter, and with it every measure, below the projections
     fixed = verdict() & (F.monotonically_increasing_id() >= 0)
-    return measures(packed, "__text").select("__row", fixed.alias("__kept")).filter("__kept").select("__row.*")
+    packed = docs.select(F.struct("*").alias("__packed"), F.col(text).alias("__text"))
+    return measures(packed, "__text").select("__packed", fixed.alias("__kept")).filter("__kept").select("__packed.*")
