@@ -64,7 +64,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("__p", F.expr("sort_array(transform(filter(__d, (x, i) -> get(__d, i - 1).h = x.h or get(__d, i + 1).h = x.h), x -> x.i))"))
     covered = F.expr(f"coalesce(aggregate(__p, struct(0L as n, -{WINDOW} as last), (a, p) -> struct(a.n + least({WINDOW}, p - a.last) as n, p as last), a -> a.n), 0L)")
     own = [F.col("__row")[c].alias(c) for c in docs.columns if c != "quality"]
-    return out.select(*own, F.struct("__q.*", covered.alias("n_repeat_words")).alias("quality"))
+    # the counter keeps the optimiser from pushing filters, and with them every measure, below the projections,
+    # where arrays would be built for each element of others
+    fixed = F.when(F.monotonically_increasing_id() >= 0, F.struct("__q.*", covered.alias("n_repeat_words")))
+    return out.select(*own, fixed.alias("quality"))
 
 
 def base_failed(q: str = "quality") -> Column:
@@ -93,7 +96,5 @@ def judge(docs: DataFrame, text: str = "text", rules: dict[str, tuple] = RULES)
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
-    # the counter keeps the optimiser from pushing the filter, and with it every measure, below the projections
-    fixed = verdict() & (F.monotonically_increasing_id() >= 0)
     packed = docs.select(F.struct("*").alias("__packed"), F.col(text).alias("__text"))
-    return measures(packed, "__text").select("__packed", fixed.alias("__kept")).filter("__kept").select("__packed.*")
+    return measures(packed, "__text").filter(verdict()).select("__packed.*")
