@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-from lodestone.plans import catalogue
+from lodestone.plans import catalogue, sample_questions  # noqa: F401
 
 SF = Path("/root/testdata/sf0.001")
 
