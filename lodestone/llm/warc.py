@@ -1,9 +1,10 @@
 """A deterministic sharded writer of WARC files, and their reader.
 
-Records are sorted by page_id.  Shards are ranges of it, cut on an exact histogram of payload bytes over
-equal steps of the id (at most ``STEPS`` rows reach the driver), so the same table gives the same shards
-whatever the cluster does.  A shard is written by one task as a chain of gzip members, one a record, and goes
-on in a new file once ``roll_bytes`` compressed bytes are reached.  Files get a temporary name in a folder of
+Records are sorted by page_id.  Shards are ranges of (page_id, start of the digest), cut at even steps of the
+running sum of payload bytes in that order, so the same table gives the same shards whatever the cluster does,
+however the ids are spread, and an id that very many rows share is cut too.  One row a shard reaches the driver;
+each record finds its shard by binary search in an expression, and each shard is a partition of its own.  A shard
+is written by one task as a chain of gzip members, one a record, and goes on in a new file once ``roll_bytes`` compressed bytes are reached.  Files get a temporary name in a folder of
 the attempt and are renamed when whole; a shard's manifest rows come last, through Spark's own commit.  A
 task that is run again writes the same bytes under the same names, so losing executors does no harm.
 
@@ -13,7 +14,7 @@ sorted in among the pages.
 
 Defined cases: null html is an empty payload; a null url gives a ``urn:page:`` target; control characters in a
 url are percent-encoded; a null page_id is a response; several rows of the largest page_id of a payload are
-all responses; repeated rows give a record each; an empty table gives no files and no rows; extra columns are
+all responses; repeated rows give a record each, in one shard; ids may lie anywhere in the range of a long; an empty table gives no files and no rows; extra columns are
 ignored.  Very long pages are streamed, one record in memory at a time.
 """
 
@@ -25,7 +26,9 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +37,6 @@ from .common import materialise, open_store
 REVISIT_FROM = 1000
 ROLL_BYTES = 64 << 20
 SHARD_BYTES = 256 << 20
-STEPS = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 SPACE = uuid.UUID("7d1f5a5e-4c0e-5a53-9d0b-3f6f1f0c9a11")
 
@@ -116,46 +118,80 @@ class _Shard:
         return self.done
 
 
-def revisits(pages: DataFrame, at_least: int = REVISIT_FROM) -> DataFrame:
-    """``page_id, digest, refers_to`` of each page whose payload a later page has too."""
-    meta = pages.select("page_id", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.octet_length(F.coalesce("html", F.lit(""))).alias("bytes"))
-    meta = meta.filter((F.col("bytes") >= at_least) & F.col("page_id").isNotNull()).select("page_id", "digest")
-    keep = meta.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return meta.join(keep, "digest").filter("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
+def _prefix(digest: Column) -> Column:
+    """The first 60 bits of a hexadecimal digest: with page_id, the order of the records."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
 
+def thin(pages: DataFrame) -> DataFrame:
+    """``page_id, digest, bytes`` of each page: all that is asked of payloads before they are written."""
+    html = F.coalesce("html", F.lit(""))
+    return pages.select("page_id", F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("bytes"))
 
-class _Ranges:
-    """Ranges of page_id of about ``shard_bytes`` payload bytes each, from an exact histogram."""
 
-    def __init__(self, pages: DataFrame, shard_bytes: int, least: int):
-        ends = pages.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-        self.lo, hi = ends["lo"] or 0, ends["hi"] or 0
-        self.step = max(1, -(-(hi - self.lo + 1) // STEPS))
-        size = F.octet_length(F.coalesce("html", F.lit(""))).cast("long") + 512
-        load = sorted(tuple(r) for r in pages.groupBy(self.slot().alias("slot")).agg(F.sum(size)).collect())
-        total, before, rows = sum(n for _, n in load), 0, []
-        self.n = max(1, min(len(load), max(least, -(-total // shard_bytes))))
-        for slot, n in load:
-            rows.append((slot, before * self.n // total))
-            before += n
-        self.table = pages.sparkSession.createDataFrame(rows, "slot int, shard long")
+def revisits(meta: DataFrame, at_least: int = REVISIT_FROM) -> DataFrame:
+    """``page_id, digest, refers_to`` of each page of :func:`thin` whose payload a later page has too."""
+    meta = meta.filter((F.col("bytes") >= at_least) & F.col("page_id").isNotNull()).select("page_id", "digest")
+    keep = meta.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return meta.join(keep, "digest").filter("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
 
-    def slot(self) -> Column:
-        return F.coalesce(F.expr(f"cast((page_id - {self.lo}L) div {self.step}L as int)"), F.lit(0))
 
-    def deal(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("slot", self.slot()).join(F.broadcast(self.table), "slot").drop("slot")
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``page_id, prefix, load`` in order in; with them the load before each row in its partition, and the partition, out."""
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        load = batch.column(2).to_numpy()
+        upto = before + np.cumsum(load)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), batch.column(2), pa.array(upto - load), pa.array(np.full(len(load), part, np.int32))], ["page_id", "prefix", "load", "before", "part"])
+        before = int(upto[-1]) if len(load) else before
+
+
+class Shards:
+    """Ranges of (page_id, prefix of the digest), null ids first, of about ``shard_bytes`` payload bytes each."""
+
+    def __init__(self, meta: DataFrame, shard_bytes: int, least: int):
+        load = meta.groupBy("page_id", _prefix(F.col("digest")).alias("prefix")).agg(F.sum(F.col("bytes") + 512).alias("load"))
+        ordered = load.repartitionByRange("page_id", "prefix").sortWithinPartitions("page_id", "prefix")
+        held = materialise(ordered.mapInArrow(_running, "page_id long, prefix long, load long, before long, part int"), "warc-order")
+        sums = sorted(tuple(r) for r in held.groupBy("part").agg(F.sum("load")).collect())
+        total = sum(x for _, x in sums)
+        width = max(1, -(-total // max(least, -(-total // shard_bytes), 1)))
+        starts, upto = [], 0
+        for part, x in sums:
+            starts.append((part, upto))
+            upto += x
+        offsets = meta.sparkSession.createDataFrame(starts, "part int, offset long")
+        numbered = held.join(F.broadcast(offsets), "part").select(F.expr(f"(offset + before) div {width}").alias("shard"), F.struct("page_id", "prefix").alias("first"))
+        self.starts = sorted((r["shard"], r["first"]["page_id"] is not None, r["first"]["page_id"] or 0, r["first"]["prefix"]) for r in numbered.groupBy("shard").agg(F.min("first").alias("first")).collect())
+        self.n = max(1, len(self.starts))
+
+    def number(self, page_id: Column, digest: Column) -> Column:
+        """How many shards start at or before a record, less one, by binary search."""
+        known, ids, prefixes = (F.split(F.lit(",".join(str(int(x[k])) for x in self.starts)), ",").try_cast("array<bigint>") for k in (1, 2, 3))
+        key = (page_id.isNotNull().cast("long"), F.coalesce(page_id, F.lit(0)), _prefix(digest))
+
+        def from_here(at: Column) -> Column:
+            k, i, p = (F.get(x, at) for x in (known, ids, prefixes))
+            return (k < key[0]) | ((k == key[0]) & ((i < key[1]) | ((i == key[1]) & (p <= key[2]))))
+
+        steps = F.array(*[F.lit(1 << k) for k in range(self.n.bit_length() - 1, -1, -1)])
+        found = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(from_here(at + step - 1), step).otherwise(0))
+        return F.greatest(found - 1, F.lit(0)).cast("int")
 
 
 def write_warc(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES, least_shards: int = 12, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives under ``root``; returns the manifest's table."""
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long"), "url", "html")
-    again = materialise(revisits(rows, revisit_from), "revisits")
-    ranges = _Ranges(rows, shard_bytes, least_shards)
+    meta = materialise(thin(rows), "warc-meta")
+    again = materialise(revisits(meta, revisit_from), "revisits")
+    shards = Shards(meta, shard_bytes, least_shards)
+    digest = F.sha1(F.coalesce("html", F.lit("")).cast("binary"))
     verdicts = again.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to", F.lit(0).alias("kind"))
-    both = verdicts.unionByName(rows.select("*", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind")))
-    ordered = ranges.deal(both).repartitionByRange(ranges.n, "shard").sortWithinPartitions("shard", "page_id", "kind", "digest", "url")
+    both = verdicts.unionByName(rows.select("*", digest.alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind")))
+    dealt = both.withColumn("shard", shards.number(F.col("page_id"), F.col("digest")))
+    ordered = dealt.repartitionById(shards.n, F.col("shard")).sortWithinPartitions("page_id", "kind", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, done, page, verdict = None, [], None, {}
@@ -173,7 +209,7 @@ def write_warc(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, shard_
                     verdict[digests[i].as_py()] = refers[i].as_py()
                     continue
                 payload = (htmls[i].as_py() or "").encode()
-                refer = verdict.get(hashlib.sha1(payload).hexdigest()) if verdict else None
+                refer = verdict.get(digests[i].as_py())
                 out.add(_member(record(this, urls[i].as_py(), payload, refer)))
         if out is not None:
             done += out.close()
