@@ -1,161 +1,225 @@
-"""Line dedup: maximal runs of lines that the corpus has twice are kept where they come first.
-
-The corpus is a sequence of line ids (128-bit hashes), document by document.  Prefix doubling names the run
-of ``2^k`` lines that starts at each place from the names of its two halves; the name of a run of any length
-is that of the two overlapping doubled runs that cover it.  Places that share the name of a run are the
-members of one interval of the suffix array with at least that common prefix.  Names are hashes of names, so
-that all machines agree on them without sorting; only equality of prefixes is asked for here, and so the
-array's order is never needed.
-
-Before the doubling, lines that occur once in the corpus go: no repeated run holds one.  What is left is cut
-into stretches of neighbouring lines, and stretches of under ``min_words`` words go.  Of the runs of at least
-``min_words`` words, it is enough to look at those that no longer are when their last line, or their first
-line, is taken off: every line of a longer repeated run lies in one of these, and it lies in the run.  There
-are at most two a line, so the work is in proportion to the lines however many copies a run has, and a group
-of copies meets only in a minimum.
+"""Line dedup: a suffix array over line ids by distributed prefix doubling; maximal repeated runs go where they stand again.
+
+The corpus is a sequence of line ids (128-bit hashes), document by document.  All steps are sorts of tables:
+
+1. *Ranks.*  :func:`ranked` sorts places by (key, place) over range partitions and gives each the number of rows
+   before the first of equal key, its rank, and whether an equal key stands at an earlier place.  The place is part
+   of the order, so places that share a key, however many, lie in many partitions; what a partition must know of
+   the one before it is one row a partition on the driver.  Nothing is joined or grouped by a line or a run.
+2. *Prefix doubling.*  Round 0 ranks the lines; round k+1 ranks the places by the pair of the ranks of the runs of
+   ``2^k`` lines at the place and ``2^k`` lines on.  Ranks keep the lexicographic order of the runs: a round is the
+   suffix array sorted by its first ``2^(k+1)`` lines.  Places whose run occurs once are discarded, since nothing
+   longer from there repeats, and the rounds end when no run repeats.
+3. *Longest-common-prefix intervals.*  Places of equal rank are an interval of the array with at least that common
+   prefix.  From the deepest round down, each interval is split by the rank of the next ``2^j`` lines.  A place that
+   has an earlier one beside it in its part goes on in the part, with a prefix longer by ``2^j``; else it stays.  The
+   first of a part goes along as a witness.  At the end each place has the length of the longest run from there that
+   also stands at an earlier place.
+4. *Runs.*  Of these lengths, those of at least ``min_words`` words count; overlapping ones of a document unite to
+   maximal runs, and their lines go.
+
+Before the doubling, lines that occur once in the corpus go: no repeated run holds one.  What is left is cut into
+stretches of neighbouring lines, and stretches of under ``min_words`` words go.  A place stops going down once it
+can no longer reach that many words.
 
 A line goes if it lies in a run of at least ``min_words`` words whose lines also stand, in the same order,
 at an earlier place (by doc_id, then hash of the text, then line).  Blank lines neither count nor part runs;
 they go with nothing.
 
 Defined cases: null texts stay null; empty texts and texts of under ``min_words`` words lose nothing; rows
-with the same doc_id and text count as one document and are treated alike; an empty table stays empty; extra
-columns pass through whatever their names.
+with the same doc_id and text count as one document and are treated alike; a null doc_id counts as the least; an
+empty table stays empty; extra columns pass through whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import KEY, doc_key, match, materialise, words_of
+from .common import doc_key, drop_scratch, materialise, words_of
 
 MIN_WORDS = 50
+#: A place of the corpus: document, then its text, then the line's number among the non-blank ones.
+PLACE = ["doc", "text", "seq"]
+#: Lines to take out up to which the decisions are broadcast to the texts (some 4 bytes each).
+BROADCAST_GONE = 4_000_000
+
+
+def _doc():
+    """``doc_id`` (null as the least) and a hash of the text."""
+    doc, text = doc_key()
+    return F.coalesce(doc.cast("long"), F.lit(-(1 << 63))).alias("doc"), text.alias("text")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, seq, pos, a, b, w``: the non-blank lines; seq counts them, pos counts all."""
-    split = docs.select(*doc_key(), F.split("text", "\n", -1).alias("l")).filter(F.col("l").isNotNull())
-    cut = split.select(*KEY, F.filter(F.transform("l", lambda x, i: F.struct(
+    """``doc, text, seq, pos, a, b, w``: the non-blank lines; seq counts them, pos counts all."""
+    split = docs.select(*_doc(), F.split("text", "\n", -1).alias("l")).filter(F.col("l").isNotNull())
+    cut = split.select("doc", "text", F.filter(F.transform("l", lambda x, i: F.struct(
         i.alias("pos"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), F.size(words_of(x)).alias("w"))), lambda s: s.w > 0).alias("l"))
-    return cut.select(*KEY, F.posexplode("l").alias("seq", "x")).select(*KEY, "seq", "x.*").dropDuplicates([*KEY, "seq"])
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _pair(x: np.ndarray, y: np.ndarray, seed: int) -> np.ndarray:
-    return _mix(_mix(x + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15) + y)
-
-
-def least_runs(stretch: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
-    """``side, start, end, length, name a, name b`` of the least runs of ``min_words`` words.
-
-    Lines are rows; ``stretch`` rises from one stretch to the next.  Side 0: least from its first line on;
-    side 1: least back from its last line.
-    """
-    n = len(w)
-    upto = np.cumsum(w.astype(np.int64))
-    before = upto - w
-    rows = np.arange(n)
-    ends = np.searchsorted(upto, before + min_words)  # first line by which enough words are read
-    ok = (ends < n) & (stretch[np.minimum(ends, n - 1)] == stretch)
-    starts = np.searchsorted(before, upto - min_words, side="right") - 1  # last line from which enough words follow
-    ok2 = (starts >= 0) & (stretch[np.maximum(starts, 0)] == stretch)
-    side = np.concatenate([np.zeros(ok.sum(), np.int32), np.ones(ok2.sum(), np.int32)])
-    start = np.concatenate([rows[ok], starts[ok2]])
-    end = np.concatenate([ends[ok], rows[ok2]])
-    length = end - start + 1
-    names = np.empty((2, len(start)), np.uint64)
-    level, names_a, names_b = 0, a.view(np.uint64), b.view(np.uint64)
-    longest = int(length.max()) if len(length) else 0
-    while (1 << level) <= longest:
-        here = np.flatnonzero((length >> level) == 1)  # runs of 2^level to 2^(level+1) - 1 lines
-        last = end[here] - (1 << level) + 1
-        names[0, here] = _pair(names_a[start[here]], names_a[last], 1)
-        names[1, here] = _pair(names_b[start[here]], names_b[last], 2)
-        if (2 << level) <= longest:  # doubling; names that run past a stretch are never asked for
-            shift = 1 << level
-            next_a, next_b = names_a.copy(), names_b.copy()
-            next_a[:-shift] = _pair(names_a[:-shift], names_a[shift:], 3)
-            next_b[:-shift] = _pair(names_b[:-shift], names_b[shift:], 4)
-            names_a, names_b = next_a, next_b
-        level += 1
-    return side, start, end, length, names[0].view(np.int64), names[1].view(np.int64)
-
-
-RUNS = "doc_id long, text_hash long, side int, start int, end int, length int, na long, nb long"
-
-
-def runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The least runs of the lines that occur at least twice."""
-    twice = lines.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    left = lines.join(twice, ["a", "b"])
-    place = Window.partitionBy(*KEY).orderBy("seq")
-    left = left.withColumn("stretch", F.col("seq") - F.row_number().over(place))
-    left = left.withColumn("words", F.sum("w").over(Window.partitionBy(*KEY, "stretch"))).filter(F.col("words") >= min_words)
-    left = left.select("doc_id", "text_hash", "stretch", "seq", "w", "a", "b").sortWithinPartitions(*KEY, "seq")
+    return cut.select("doc", "text", F.posexplode("l").alias("seq", "x")).select(*PLACE, "x.*")
+
+
+def _numbered(n: int):
+    """Rows sorted by key and place in, whose first ``n`` columns are the key; each place once out, with partition, row, first row of the key, and whether it
+    is the last row of its key in the partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        part = TaskContext.get().partitionId()
+        held, before, row, start = None, None, 0, 0
+        for batch in chain(batches, [None]):
+            table = held if batch is None else pa.Table.from_batches([*(held.to_batches() if held is not None else []), batch])
+            if table is not None and table.num_rows > 1:  # a repeated row is one place; its copies lie beside it
+                whole = [table.column(c).to_numpy() for c in (*range(n), *PLACE)]
+                table = table.filter(pa.array(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in whole], axis=0)])))
+            take = table.num_rows - (batch is not None) if table is not None else 0  # the last row waits for the next
+            if take <= 0:
+                held = table
+                continue
+            keys = [table.column(c).to_numpy() for c in range(n)]
+            new = np.ones(table.num_rows + 1, bool)
+            new[1:-1] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            new[0] = before is None or any(k[0] != x for k, x in zip(keys, before, strict=True))
+            rows = row + np.arange(take)
+            at = np.maximum.accumulate(np.where(new[:take], rows, start))
+            out = table.slice(0, take).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(take, part, np.int32)), pa.array(rows), pa.array(at), pa.array(new[1:take + 1])], [*out.schema.names, "part", "row", "at", "last"])
+            before, start, row, held = [k[take - 1] for k in keys], int(at[-1]), row + take, table.slice(take)
+
+    return run
+
+
+def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """A written table of ``df`` with ``rank``: the rows of a lesser key; ``later``: the key stands at an earlier place;
+    ``alone``: no other place has the key.  Keys and places hold no null."""
+    rest = [c for c in df.columns if c not in keys]
+    ordered = df.select(*keys, *rest).repartitionByRange(*keys, *PLACE).sortWithinPartitions(*keys, *PLACE)
+    schema = ", ".join(f"{c} {t}" for c, t in ordered.dtypes) + ", part int, row long, at long, last boolean"
+    held = materialise(ordered.mapInArrow(_numbered(len(keys)), schema), name)
+    key = F.struct(*keys)
+    parts = held.groupBy("part").agg(F.min(key).alias("head"), F.max(key).alias("tail"), F.count("*").alias("n"), F.max("at").alias("tail_at")).orderBy("part").collect()
+    bounds, offset, rank = [], 0, None
+    for i, p in enumerate(parts):
+        goes_on = i > 0 and p["head"] == parts[i - 1]["tail"]
+        carried = rank if goes_on else None
+        bounds.append((p["part"], offset, carried, p["tail_at"], i + 1 < len(parts) and parts[i + 1]["head"] == p["tail"]))
+        rank = carried if goes_on and p["tail_at"] == 0 else offset + p["tail_at"]
+        offset += p["n"]
+    edges = df.sparkSession.createDataFrame(bounds, "part int, offset long, carried long, tail_at long, more boolean")
+    out = held.join(F.broadcast(edges), "part")
+    carried = (F.col("at") == 0) & F.col("carried").isNotNull()
+    out = out.withColumns({
+        "rank": F.when(carried, F.col("carried")).otherwise(F.col("offset") + F.col("at")), "later": carried | (F.col("row") > F.col("at")),
+        "alone": F.col("last") & (F.col("row") == F.col("at")) & ~carried & ~(F.col("more") & (F.col("at") == F.col("tail_at")))})
+    out = out.select(*df.columns, "rank", "later", "alone")
+    out.scratch_path = held.scratch_path
+    return out
+
+
+def stretches(lines: DataFrame, min_words: int) -> DataFrame:
+    """``lines`` (PLACE, pos, w, rank, later) in stretches of neighbours of at least ``min_words`` words, with ``need``:
+    how many lines from the place on have so many words, a very large number if the stretch ends before."""
 
-        def cut(parts: list[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(parts).combine_chunks()
-            doc, text, stretch, seq, w, a, b = (table.column(c).to_numpy(zero_copy_only=False) if table.column(c).null_count == 0 else table.column(c).fill_null(-(1 << 63)).to_numpy() for c in range(7))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                if sum(b.num_rows for b in held) < 100_000:
+                    continue
+            if not held:
+                return
+            table = pa.Table.from_batches(held).combine_chunks()
+            doc, text, seq, w = (table.column(c).to_numpy() for c in (*PLACE, "w"))
             new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (stretch[1:] != stretch[:-1])
-            number = np.cumsum(new)
-            stop = len(doc)
-            if not last:  # the last stretch may go on
-                stop = int(np.flatnonzero(new)[-1])
-                held[:] = [x for x in table.slice(stop).to_batches()]
-            if stop:
-                side, start, end, length, na, nb = least_runs(number[:stop], w[:stop], a[:stop].astype(np.int64), b[:stop].astype(np.int64), min_words)
-                docs_ = table.column(0).combine_chunks()
-                docs_ = docs_.take(pa.array(start))
-                yield pa.RecordBatch.from_arrays(
-                    [docs_.combine_chunks() if isinstance(docs_, pa.ChunkedArray) else docs_, pa.array(text[start]), pa.array(side), pa.array(seq[start], pa.int32()), pa.array(seq[end], pa.int32()), pa.array(length, pa.int32()), pa.array(na), pa.array(nb)],
-                    ["doc_id", "text_hash", "side", "start", "end", "length", "na", "nb"])
-
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= 100_000:
-                yield from cut(held, False)
-                size = sum(x.num_rows for x in held)
-        if held and sum(x.num_rows for x in held):
-            yield from cut(held, True)
-
-    return left.mapInArrow(run, RUNS)
+            new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (seq[1:] != seq[:-1] + 1)
+            stop = len(doc) if batch is None else int(np.flatnonzero(new)[-1])  # the last stretch may go on
+            held = table.slice(stop).to_batches() if stop < len(doc) else []
+            if not stop:
+                continue
+            starts = np.flatnonzero(new[:stop])
+            number = np.cumsum(new[:stop]) - 1
+            upto = np.cumsum(w[:stop].astype(np.int64))
+            ends = np.append(starts[1:], stop)
+            end = np.searchsorted(upto, upto - w[:stop] + min_words)
+            need = np.where(end < ends[number], end - np.arange(stop) + 1, 1 << 30).astype(np.int32)
+            words = np.add.reduceat(w[:stop].astype(np.int64), starts)
+            out = table.slice(0, stop).append_column("need", pa.array(need)).filter(pa.array((words >= min_words)[number])).combine_chunks()
+            yield from out.to_batches()
+
+    dealt = lines.repartition("doc", "text").sortWithinPartitions(*PLACE)
+    return dealt.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in dealt.dtypes) + ", need int")
+
+
+def doubled(first: DataFrame) -> list[DataFrame]:
+    """Rounds of prefix doubling: the k-th table has the places whose run of ``2^k`` lines occurs at least twice, with
+    the run's ``r`` and whether it stands at an earlier place.  Rounds end with the last table that has rows."""
+    levels = [first]
+    while True:
+        step = 1 << (len(levels) - 1)
+        on = Window.partitionBy("doc", "text").orderBy("seq").rangeBetween(step, step)
+        pairs = levels[-1].select(*PLACE, "need", "r", F.first("r").over(on).alias("r2")).filter("r2 is not null")
+        sorted_ = ranked(pairs, ["r", "r2"], f"prefixes-{2 * step}")
+        table = sorted_.filter(~F.col("alone")).select(*PLACE, "need", F.col("rank").alias("r"), "later")
+        if table.isEmpty():
+            return levels
+        levels.append(table)
+
+
+def longest(levels: list[DataFrame]) -> DataFrame:
+    """``doc, text, seq, len`` of the places from which a run of enough words also stands at an earlier place: the
+    longest such run.  Walks the intervals from the deepest round down."""
+    state = None
+    for k in range(len(levels) - 1, -1, -1):
+        table = levels[k]
+        if state is not None:  # split the intervals by the next 2^k lines
+            step = 1 << k
+            nexts = table.select(F.col("doc").alias("__d"), F.col("text").alias("__t"), F.col("seq").alias("__s"), F.col("r").alias("r"))
+            asked = state.join(nexts, (F.col("doc") == F.col("__d")) & (F.col("text") == F.col("__t")) & (F.col("seq") + F.col("len") == F.col("__s")), "left")
+            asked = asked.select(*PLACE, "need", "len", "g", "own", F.coalesce("r", F.lit(-1)).alias("r"))
+            parts = ranked(asked, ["len", "g", "r"], f"intervals-{step}")
+            goes = F.col("later") & (F.col("r") >= 0)
+            row = F.struct((F.col("len") + F.when(goes & F.col("own"), step).otherwise(0)).cast("int").alias("len"), F.when(goes & F.col("own"), F.col("rank")).otherwise(F.col("g")).alias("g"), "own")
+            witness = F.when((F.col("r") >= 0) & ~F.col("later") & ~F.col("alone"), F.struct((F.col("len") + step).cast("int").alias("len"), F.col("rank").alias("g"), F.lit(False).alias("own")))
+            state = parts.select(*PLACE, "need", F.explode(F.array_compact(F.array(row, witness))).alias("x")).select(*PLACE, "need", "x.*")
+        # places that go no deeper than this round begin here, the first of each interval as its witness
+        deeper = levels[k + 1].filter("later").select(*PLACE, F.lit(True).alias("deep")) if k + 1 < len(levels) else None
+        fresh = table if deeper is None else table.join(deeper, PLACE, "left").filter("deep is null")
+        fresh = fresh.select(*PLACE, "need", F.lit(1 << k).alias("len"), F.col("r").alias("g"), F.col("later").alias("own"))
+        state = fresh if state is None else state.unionByName(fresh)
+        # a place gains under 2^k lines from here on; an interval without a place of its own needs no witness
+        state = state.filter(~F.col("own") | (F.col("len") + ((1 << k) - 1) >= F.col("need")))
+    return state.filter("own and len >= need").select(*PLACE, "len")
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, text_hash, gone``: positions of the lines that go, in order, of documents that lose any."""
-    lines = materialise(lines_of(docs.withColumn("doc_id", F.col("doc_id").cast("long"))), "lines")
-    found = materialise(runs(lines, min_words), "runs")
-    name = ["side", "length", "na", "nb"]
-    place = F.struct(*KEY, "start")
-    first = found.groupBy(*name).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    later = found.join(first, name).filter(place > F.col("first"))
-    later = later.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("runs"))
-    seqs = later.select(*KEY, F.explode(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r.start, r.end))))).alias("seq"))
-    gone = match(lines, seqs, [*KEY, "seq"], "left_semi")
-    return gone.groupBy(*KEY).agg(F.sort_array(F.collect_list("pos")).alias("gone"))
+    """``doc, text, gone``: positions of the lines that go, in order, of documents that lose any."""
+    lines = materialise(lines_of(docs), "lines")
+    ids = ranked(lines, ["a", "b"], "line-ids")
+    twice = ids.filter(~F.col("alone")).select(*PLACE, "pos", "w", "rank", "later")
+    kept = materialise(stretches(twice, min_words), "stretches")
+    drop_scratch(lines)
+    found = longest(doubled(kept.select(*PLACE, "need", F.col("rank").alias("r"), "later")))
+    at = Window.partitionBy("doc", "text").orderBy("seq")
+    reach = F.max(F.col("seq") + F.col("len")).over(at.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.withColumn("new", F.coalesce(F.col("seq") > reach, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(at))
+    runs = runs.groupBy("doc", "text", "run").agg(F.min("seq").alias("first"), F.max(F.col("seq") + F.col("len") - 1).alias("end"))
+    seqs = runs.select("doc", "text", F.explode(F.sequence("first", "end")).alias("seq"))
+    gone = kept.select(*PLACE, "pos").join(seqs, PLACE, "left_semi")
+    return gone.groupBy("doc", "text").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = True) -> DataFrame:
     """``docs`` without their repeated runs of lines; a document that loses its last word goes too."""
-    gone = repeats(docs, min_words)
-    keyed = match(docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")), gone, KEY, "left")
+    gone = materialise(repeats(docs, min_words), "gone")
+    small = (gone.agg(F.sum(F.size("gone") + 8)).first()[0] or 0) <= BROADCAST_GONE
+    keyed = docs.select(F.struct("*").alias("__row"), *_doc()).join(F.broadcast(gone) if small else gone, ["doc", "text"], "left")
     lines = F.split("__row.text", "\n", -1)
     keyed = keyed.withColumn("__l", F.when(F.col("gone").isNotNull(), lines))
     keyed = keyed.withColumn("__k", F.expr("case when gone is not null then array_except(sequence(0, size(__l) - 1), gone) end"))

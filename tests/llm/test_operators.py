@@ -149,6 +149,21 @@ def test_line_dedup(docs, texts):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i, t in got.items() if t == texts[i] or t.strip()}
 
 
+def test_line_dedup_of_random_lines(spark):
+    """Few distinct lines, so that runs repeat, overlap and nest; repeated rows and a null id among them."""
+    rng = random.Random(11)
+    lines = [f"line {k} has some six words" if k % 3 else f"short {k}" for k in range(7)]
+    texts = {i: "\n".join(rng.choice(lines) for _ in range(rng.randrange(0, 40))) for i in range(1, 25)}
+    block = "\n".join(f"block line {k} of a longer passage here" for k in range(90))
+    texts |= {100 + i: f"{rng.choice(lines)}\nown {i}\n{block}\n\n{rng.choice(lines)}" for i in range(5)} | {200: block + "\n" + block}
+    rows = [*texts.items(), *list(texts.items())[:9], (None, block)]
+    gone = lpf_gone({**texts, -1: block}, 12)
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    got = linededup.dedup_lines(documents, 12, drop_emptied=False).collect()
+    want = sorted((i or 0, "\n".join(x for p, x in enumerate(t.split("\n")) if (-1 if i is None else i, p) not in gone)) for i, t in rows)
+    assert gone and sorted((r.doc_id or 0, r.text) for r in got) == want
+
+
 def base_quality(text):
     w = WORD.findall(text or "")
     seen, dup = set(), 0
