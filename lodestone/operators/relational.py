@@ -40,6 +40,16 @@ def rows_of(one: DataFrame, name: str, value: str, kind: str = "double") -> Data
     return one.select(F.inline(pairs)).filter(F.col(value).isNotNull())
 
 
+def melt(df: DataFrame, ids: list[str], values: list[str], name: str, value: str) -> DataFrame:
+    """One row for each of ``values`` of each row."""
+    return df.unpivot(ids, values, name, value)
+
+
+def top(df: DataFrame, n: int, by: str) -> DataFrame:
+    """The ``n`` rows of largest ``by``; nulls last, ties in the order of the other columns.  Each task keeps ``n`` rows."""
+    return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in df.columns if c != by]).limit(n)
+
+
 def share(value: Column, digits: int) -> Column:
     """Percentage of the total over all rows.  For aggregated frames: the window holds every row."""
     total = F.sum(value.cast("double")).over(Window.partitionBy())

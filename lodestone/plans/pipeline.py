@@ -24,6 +24,12 @@ class Settings:
     chunk: int = 1 << 20
     agent: str = "lodestone"
     keep_zip: bool = True
+    tables: str = ""
+
+    @property
+    def store(self) -> str:
+        """Where tables live: any URI that Spark reads; beside the raw files if none is named."""
+        return self.tables.rstrip("/") or f"file://{self.data.resolve()}"
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Settings:
@@ -36,9 +42,9 @@ class Settings:
                 raise ValueError(f"{name} is not a whole number: {env[name]!r}") from e
 
         return cls(
-            Path(env.get("CNO_DATA_DIR", "data")), env.get("CNO_SOURCE_URL", ""), whole("CNO_MAX_TENTATIVAS", 5), whole("CNO_READ_TIMEOUT", 60),
-            float(env.get("CNO_BACKOFF_BASE") or 2), whole("CNO_CHUNK_SIZE", 1 << 20), env.get("CNO_USER_AGENT", "lodestone"),
-            env.get("CNO_MANTER_ZIP", "sim").strip().lower() in ("1", "true", "yes", "y", "sim"))
+            Path(env.get("LODESTONE_DATA", "data")), env.get("LODESTONE_URL", ""), whole("LODESTONE_ATTEMPTS", 5), whole("LODESTONE_TIMEOUT", 60),
+            float(env.get("LODESTONE_BACKOFF") or 2), whole("LODESTONE_CHUNK", 1 << 20), env.get("LODESTONE_AGENT", "lodestone"),
+            env.get("LODESTONE_KEEP_ZIP", "sim").strip().lower() in ("1", "true", "yes", "y", "sim"), env.get("LODESTONE_TABLES", ""))
 
     def manifest(self, stage: str, snapshot: str = "latest") -> Path:
         return self.data / "manifests" / stage / f"{snapshot}.json"
@@ -80,13 +86,13 @@ def transform(spark: SparkSession, s: Settings, snapshot: str | None = None) ->
         for name, table in staging.TABLES.items():
             source = read_csv(spark, "file://" + str(Path(raw["files"][table.file]["path"]).resolve()), table.headers)
             read = source.count()
-            wrote = replace_snapshot(staging.stage(name, source, snapshot), f"{s.data.resolve()}/staging/{name}", snapshot, table.partitions)
+            wrote = replace_snapshot(staging.stage(name, source, snapshot), f"{s.store}/staging/{name}", snapshot, table.partitions)
             out[name] = {"lidas": read, **wrote, "duplicatas": read - wrote["linhas"]}
     return _done(s, "staging", snapshot, {"tabelas": out, "totals": raw.get("totals", {})})
 
 
 def _tables(spark: SparkSession, s: Settings, snapshot: str) -> dict:
-    return {n: read_snapshot(spark, f"{s.data.resolve()}/staging/{n}", snapshot) for n in staging.TABLES}
+    return {n: read_snapshot(spark, f"{s.store}/staging/{n}", snapshot) for n in staging.TABLES}
 
 
 def validate(spark: SparkSession, s: Settings, snapshot: str | None = None) -> dict:
@@ -98,7 +104,7 @@ def validate(spark: SparkSession, s: Settings, snapshot: str | None = None) -> d
 
 def run_curate(spark: SparkSession, s: Settings, snapshot: str | None = None) -> dict:
     snapshot = files.read_json(s.manifest("staging", snapshot or "latest"))["snapshot"]
-    base, out = f"{s.data.resolve()}/curated", {}
+    base, out = f"{s.store}/curated", {}
     with files.lock(s.data / "locks", snapshot):
         out["obras_analitico"] = replace_snapshot(curate.analytic(_tables(spark, s, snapshot)), f"{base}/obras_analitico", snapshot, ("uf",))
         works = read_snapshot(spark, f"{base}/obras_analitico", snapshot)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import domains as D
 from ..functions.columns import all_of, per
 from ..operators.relational import join_reference, rows_of, share, small
+from ..sources.reference import read_corrections, read_places
 from ..sources.tables import read_snapshot
 
 _F, _c = F, F.col
@@ -44,6 +46,7 @@ class Questions:
     places: DataFrame | None = None
     corrections: DataFrame | None = None
     population: str = "populacao"
+    keep_seconds: float = 3600
     _cache: dict = field(default_factory=dict, repr=False)
 
     @classmethod
@@ -55,12 +58,23 @@ class Questions:
             v.createOrReplaceTempView(k)
         return cls(**tables, places=places, corrections=corrections, population=population)
 
-    def ask(self, question: str, **filters) -> DataFrame:
-        """The answer, kept by question and filters."""
-        key = (question, *sorted(filters.items()))
+    def ask(self, question: str, **filters):
+        """The answer, its rows kept by question and filters for ``keep_seconds``."""
+        key, now = (question, *sorted(filters.items())), time.monotonic()
+        for stale in [k for k, (until, _) in self._cache.items() if until <= now]:
+            _, old = self._cache.pop(stale)
+            if isinstance(old, DataFrame):
+                old.unpersist()
         if key not in self._cache:
-            self._cache[key] = getattr(self, question)(**filters)
-        return self._cache[key]
+            answer = getattr(self, question)(**filters)
+            self._cache[key] = now + self.keep_seconds, answer.cache() if isinstance(answer, DataFrame) else answer
+        return self._cache[key][1]
+
+    @classmethod
+    def open_with(cls, spark: SparkSession, curated: str, places: str, corrections: str) -> Questions:
+        """As :meth:`open`, with the reference tables read from CSV files."""
+        table, population = read_places(spark, places)
+        return cls.open(spark, curated, table, read_corrections(spark, corrections), population)
 
     @staticmethod
     def _where(df: DataFrame, uf: str | None = None, comparavel: bool = False, extra: Column | None = None) -> DataFrame:

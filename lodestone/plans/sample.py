@@ -7,12 +7,17 @@ from the definitions.  Doubles that geometry yields are compared as whole cells
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import domains as D
+from ..operators.relational import melt, top
+from ..sources.reference import redundant
+from ..sources.tables import read_snapshot, replace_snapshot
 from . import curate, rules, staging
 from .catalogue import query
 from .questions import Questions
@@ -311,3 +316,51 @@ def cobertura_geo(t):
     got = curate.coverage(analytic(t))
     names = "obras completos curtos decodificados recuperados geocodificadas plausiveis".split()
     return t("orders").sparkSession.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+# sinks, scans and small operators
+def _scratch(spark: SparkSession) -> str:
+    """A folder of its own in the shared one that the session names; in a temporary one if it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{(named or 'file://' + tempfile.mkdtemp(prefix='lodestone-')).rstrip('/')}/sample-{uuid.uuid4().hex}"
+
+
+@query(STAGED + f"""select '{SNAPSHOT}' as snapshot, count(*) as linhas, count(cnae) as com_cnae from cnaes union all select '2026-02-15', count(*), count(cnae) from cnaes where cnae is not null
+  union all select 'ultimo', count(*), count(cnae) from cnaes where cnae is not null""")
+def snapshot_replace(t):
+    """A snapshot written, written again, and a second one beside it; each read back on its own, and the newest."""
+    rows = staged(t)["cnaes"]
+    spark, folder = rows.sparkSession, _scratch(rows.sparkSession)
+    replace_snapshot(rows.limit(3), folder, SNAPSHOT)
+    replace_snapshot(rows, folder, SNAPSHOT)
+    replace_snapshot(rows.filter("cnae is not null"), folder, "2026-02-15")
+    counted = [read_snapshot(spark, folder, s).agg(F.count("*").alias("linhas"), F.count("cnae").alias("com_cnae")).select(F.lit(s or "ultimo").alias("snapshot"), "linhas", "com_cnae") for s in (SNAPSHOT, "2026-02-15", None)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query(CURATED + "select cno, uf, n_areas from analitico where uf = 'SC'")
+def snapshot_pruned_scan(t):
+    """The analytic table written by state; one state's folder is read back."""
+    works = analytic(t).select("cno", "uf", "n_areas")
+    folder = _scratch(works.sparkSession)
+    replace_snapshot(works, folder, SNAPSHOT, ("uf",))
+    return read_snapshot(works.sparkSession, folder).filter("uf = 'SC'").select("cno", "uf", "n_areas")
+
+
+@query("""select p_partkey, 'p_size' as medida, p_size::bigint as valor from part union all select p_partkey, 'dobro', 2 * p_size::bigint from part""")
+def melt_rows(t):
+    wide = t("part").select("p_partkey", _c("p_size").cast("long").alias("p_size"), (2 * _c("p_size").cast("long")).alias("dobro"))
+    return melt(wide, ["p_partkey"], ["p_size", "dobro"], "medida", "valor")
+
+
+@query("select p_brand, count(*) as n from part group by 1 order by n desc, p_brand limit 5")
+def top_of_result(t):
+    return top(t("part").groupBy("p_brand").agg(F.count("*").alias("n")), 5, "n")
+
+
+@query(f"with places as ({_PLACE.format('nation')}) select uf, 'VILA D''ÁGUA ' || n_nationkey as nome_cno, nome from places where n_nationkey in (4, 5)")
+def correcoes_redundantes(t):
+    """Of three corrections, the two whose names match a municipality anyway."""
+    places, fixes = reference(t)
+    more = t("nation").filter("n_nationkey in (4, 5)").selectExpr("case n_nationkey when 4 then 'SC' else 'SP' end as uf", "'VILA D''ÁGUA ' || cast(n_nationkey as string) as nome_cno", "'4200000' as codigo_ibge")
+    return redundant(fixes.unionByName(more), places)

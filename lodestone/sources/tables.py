@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,32 +14,41 @@ class SourceError(RuntimeError):
     """A source that is missing, malformed or wrongly encoded."""
 
 
+def broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field goes over a line's end: then some line holds an odd number of quotes."""
+    odd = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1
+    return not spark.read.text(path).filter(odd).isEmpty()
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str], encoding: str = "windows-1252") -> DataFrame:
     """All columns as text.  Bytes that the encoding leaves undefined, and ragged rows, fail the read.
 
-    Quoted fields may hold line breaks, so a file is one task; the result is repartitioned by its readers'
-    shuffles.
+    Files are split over tasks unless one has quoted line breaks, which a first pass over the lines finds; then a
+    file is one task.
     """
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).option("enforceSchema", False).csv(path, header=True, quote='"', escape='"', multiLine=True, encoding=encoding, mode="FAILFAST")
+    df = spark.read.schema(schema).option("enforceSchema", False).csv(path, header=True, quote='"', escape='"', multiLine=broken_lines(spark, path), encoding=encoding, mode="FAILFAST")
     bad = F.lit(False)
     for c in columns:
         bad |= F.coalesce(F.col(f"`{c}`").contains("�"), F.lit(False))
-    undefined = F.raise_error(F.lit(f"{path} holds bytes that {encoding} does not define")).cast("string")
-    return df.withColumn(columns[0], F.when(bad, undefined).otherwise(F.col(f"`{columns[0]}`")))
+    undefined = F.raise_error(F.lit(f"{path} holds bytes that {encoding} does not define")).cast("boolean")
+    return df.filter(F.when(bad, undefined).otherwise(True))  # a filter holds whatever columns are read
 
 
 def c1_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """``path, c1``: whether each file has bytes 0x80 to 0x9F."""
-    raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.decode("content", F.lit("ISO-8859-1")).rlike("[\\x{80}-\\x{9F}]").alias("c1"))
+    """``path, c1``: whether each file has bytes 0x80 to 0x9F.  Read line by line, so files of any size are split."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike("[\\x{80}-\\x{9F}]").alias("c1"))
+    return lines.groupBy("path").agg(F.bool_or("c1").alias("c1"))
+
+
+def _store(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def _list(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, target = _store(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
@@ -55,20 +67,31 @@ def read_snapshot(spark: SparkSession, table_dir: str, snapshot: str | None = No
 
 
 def replace_snapshot(df: DataFrame, table_dir: str, snapshot: str, partitions: tuple[str, ...] = ()) -> dict:
-    """Write ``df`` as the whole of one snapshot; others stay.  Returns rows, files and bytes.
+    """Write ``df`` as the whole of one snapshot; others stay.  Returns rows, files, bytes and seconds.
 
-    Rows are gathered by partition value first, so that a value has few files; ``repartition`` on a salt
-    besides it would be needed only for values of many GB, which ``maxRecordsPerFile`` splits here.
+    The new files are written beside the table and take their place by renames, so a failed write leaves the old
+    snapshot whole.  Rows are gathered by partition value first, so that a value has few files; a value of many GB
+    is split by the rebalance.
     """
-    path = f"{table_dir}/snapshot_date={snapshot}"
+    began, spark = time.monotonic(), df.sparkSession
+    fs, path = _store(spark, f"{table_dir}/snapshot_date={snapshot}")
+    fresh, old = (_store(spark, f"{table_dir}/_{kind}-{uuid.uuid4().hex}")[1] for kind in ("new", "old"))
     out = df.drop("snapshot_date")
     if partitions:
         out = out.hint("rebalance", *partitions)
-    writer = out.write.mode("overwrite").option("compression", "zstd")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    spark = df.sparkSession
-    written = spark.read.parquet(path)
-    files = written.inputFiles()
-    if not files:
-        raise SourceError(f"{path}: nothing was written")
-    return {"linhas": written.count(), "arquivos": len(files)}
+    writer = out.write.option("compression", "zstd")
+    try:
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(str(fresh))
+        written = spark.read.parquet(str(fresh))
+        files = written.inputFiles()
+        if not files:
+            raise SourceError(f"{path}: nothing was written")
+        done = {"linhas": written.count(), "arquivos": len(files), "bytes": fs.getContentSummary(fresh).getLength()}
+        if fs.exists(path):
+            fs.rename(path, old)
+        if not fs.rename(fresh, path):
+            raise SourceError(f"{path} could not be put in place")
+    finally:
+        fs.delete(fresh, True)
+    fs.delete(old, True)
+    return done | {"segundos": round(time.monotonic() - began, 2)}
