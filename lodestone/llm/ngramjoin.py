@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, materialise
+from .common import drop_scratch, materialise, small_side
 from .shingles import mix, shingle_sets
 
 GROUPS = 64
@@ -49,10 +49,11 @@ GROUP_SIZE = 12
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 _PARTS = 16
-LEAF = 32
+#: Points of a box of the tree, and boxes of a box above.
+LEAF = 8
 CHUNK = 2048
 CHUNK_SHINGLES = 1_000_000
-#: Members of families up to which their ids are broadcast to the texts (some 24 bytes each).
+#: Members of families up to which their rows are broadcast to the texts (seven numbers, some 60 bytes each).
 BROADCAST_MEMBERS = 1_000_000
 #: A longer bucket is not compared with others member by member; it is looked at on its own.
 LONGEST_KNOWN = 1_000_000
@@ -457,10 +458,10 @@ def components(edges: DataFrame) -> DataFrame:
 def in_parts(met: DataFrame, most: int) -> DataFrame:
     """``bucket, cid, i, j``: members of buckets of over ``most`` dealt into parts, a row for each two parts that meet.
 
-    Only the large buckets' sizes are joined back, so at run time this is a broadcast where they are few.
+    Only the large buckets' sizes are joined back: at most one for each ``most`` rows, broadcast after a count.
     """
-    large = met.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).filter("parts > 1")
-    dealt = met.join(large, "bucket", "left").withColumn("part", F.expr("cast(pmod(xxhash64(cid), parts) as int)"))
+    large = materialise(met.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).filter("parts > 1"), "large-buckets")
+    dealt = met.join(small_side(large), "bucket", "left").withColumn("part", F.expr("cast(pmod(xxhash64(cid), parts) as int)"))
     others = F.explode(F.expr("if(parts is null, array(0), filter(sequence(0, parts - 1), k -> k <> part))")).alias("k")
     part = F.coalesce("part", F.lit(0))
     return dealt.select("bucket", "cid", part.alias("part"), others).select("bucket", "cid", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
@@ -503,8 +504,10 @@ def join(docs: DataFrame) -> DataFrame:
     rows_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows_key)
     spark.conf.set(rows_key, 256)
-    linked = materialise(sets.mapInArrow(_verify, LINKS), "links")
-    spark.conf.set(rows_key, usual)
+    try:
+        linked = materialise(sets.mapInArrow(_verify, LINKS), "links")
+    finally:
+        spark.conf.set(rows_key, usual)
 
     ids = rows.join(classes.select("cid", "check", "n", "rep", "docs"), ["cid", "check", "n"], "left")
     several = ids.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps")).filter("a < b")
@@ -533,4 +536,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     members = found.join(several, "group", "left_semi").join(keyed.select("key", place.alias("place")), "key")
     kept = members.groupBy("group").agg(F.min("place")["key"].alias("kept"))
     gone = members.join(kept, "group").filter("key <> kept").select("key")
-    return keyed.join(gone, "key", "left_anti").select("row.*")
+    return keyed.join(small_side(materialise(gone, "gone")), "key", "left_anti").select("row.*")
