@@ -17,6 +17,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A small aggregate that several plans read, computed once: checkpointed where the session names a shared folder."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def latest(df: DataFrame, key: str, by: str) -> DataFrame:
     """One row of each key: the last by ``by``, nulls last; ties go to the least row, so reruns agree."""
     order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last(), F.xxhash64(*df.columns), *[F.col(c).asc_nulls_last() for c in df.columns])

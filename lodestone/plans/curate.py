@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import domains as D
 from ..functions import olc
 from ..functions.columns import area_band, flag, haversine_km, label, section
-from ..operators.relational import arg_max, first_by, small
+from ..operators.relational import arg_max, first_by, settled, small
 
 
 def areas_per_work(areas: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def geocode(works: DataFrame) -> DataFrame:
     out = works.withColumns({"__code": code}).withColumns({"__lat": lat, "__lon": lon})
     anchors = out.filter("__lat is not null and codigo_municipio is not null").groupBy("codigo_municipio").agg(
         F.median("__lat").alias("__alat"), F.median("__lon").alias("__alon"), F.count("*").alias("municipio_pontos_ancora"))
-    out = out.join(small(anchors), "codigo_municipio", "left")
+    out = out.join(small(settled(anchors)), "codigo_municipio", "left")
     lat2, lon2 = olc.recover(F.col("__code"), F.col("__alat"), F.col("__alon"))
     out = out.withColumns({"__lat2": lat2, "__lon2": lon2})
     out = out.withColumns({
