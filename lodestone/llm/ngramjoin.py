@@ -57,6 +57,8 @@ CHUNK_SHINGLES = 1_000_000
 BROADCAST_MEMBERS = 1_000_000
 #: A longer bucket is not compared with others member by member; it is looked at on its own.
 LONGEST_KNOWN = 1_000_000
+#: Names that a task remembers so as not to send them again; more of them are sent again, which changes nothing.
+REMEMBERED = 200_000
 #: Classes of a bucket that one task's tree holds; a task of a larger bucket holds two such parts.
 BUCKET = 16_384
 
@@ -150,7 +152,7 @@ def _prefixes(order: np.ndarray):
                 cid, _ = class_ids(s)
                 if cid in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < REMEMBERED:
                     seen.add(cid)
                 m = n - -(-4 * n // 5) + 1
                 held = slots[(s & np.uint64(SLOTS - 1)).astype(np.intp)]
@@ -188,7 +190,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, x in enumerate(name.tolist()):
             if x not in known:
                 fresh[k] = True
-                if len(known) < 1_000_000:
+                if len(known) < REMEMBERED:
                     known.add(x)
         take = np.repeat(fresh, sizes)
         if take.any():
@@ -345,7 +347,7 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in found:
             pair = (int(cids[i]), int(cids[j]))
             if pair not in done:
-                if len(done) < 1_000_000:
+                if len(done) < REMEMBERED:
                     done.add(pair)
                 out.append(pair)
         if len(out) > 10_000:

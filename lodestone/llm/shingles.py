@@ -14,8 +14,8 @@ import pyarrow as pa
 SIZE = 5
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes of text taken at a time; a longer text is taken alone.
-BLOCK = 4 << 20
+#: Bytes of text taken at a time; a longer text is taken alone, cut between words into pieces of about this size.
+BLOCK = 1 << 20
 
 _blank = np.zeros(256, bool)
 _blank[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,19 +35,38 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; kept for pieces of usual size only."""
     global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, BLOCK + 1)
-        step = np.full(size, _BASE, np.uint64)
-        step[0] = 1
-        _powers = np.cumprod(step, dtype=np.uint64)
-        step[1:] = _INVERSE
-        _inverses = np.cumprod(step, dtype=np.uint64)
-    return _powers[:n], _inverses[:n]
+    if len(_powers) >= n:
+        return _powers[:n], _inverses[:n]
+    size = max(n, BLOCK + 1)
+    step = np.full(size, _BASE, np.uint64)
+    step[0] = 1
+    powers = np.cumprod(step, dtype=np.uint64)
+    step[1:] = _INVERSE
+    inverses = np.cumprod(step, dtype=np.uint64)
+    if size == BLOCK + 1:
+        _powers, _inverses = powers, inverses
+    return powers[:n], inverses[:n]
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(hash, start)`` of every word of ``data``, bytes in which blanks part words."""
+    if len(data) <= BLOCK:
+        return _piece(data)
+    parts, at = [], 0
+    while at < len(data):
+        end = at + BLOCK
+        while end < len(data) and not len(blank := np.flatnonzero(_blank[data[end:end + BLOCK]])):
+            end += BLOCK  # a word of that length stays whole
+        end = min(len(data), end + int(blank[0])) if end < len(data) else len(data)
+        hashes, start = _piece(data[at:end])
+        parts.append((hashes, start + at))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inner = ~_blank[data]
     edge = np.diff(np.concatenate([[0], inner.view(np.int8), [0]]))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
