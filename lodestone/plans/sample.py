@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import domains as D
 from ..operators.relational import melt, top
 from ..sources.reference import redundant
-from ..sources.tables import read_snapshot, replace_snapshot
+from ..sources.tables import read_snapshot, replace_snapshot, snapshots
 from . import curate, rules, staging
 from .catalogue import query
 from .questions import Questions
@@ -177,10 +178,49 @@ def reference(t) -> tuple[DataFrame, DataFrame]:
     return places, fixes
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A folder of its own in the shared one that the session names; in a temporary one if it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{(named or 'file://' + tempfile.mkdtemp(prefix='lodestone-')).rstrip('/')}/sample-{uuid.uuid4().hex}"
+
+
+_folders: dict[tuple[str, ...], str] = {}
+
+
+def _once(t, kind: str, write: Callable[[SparkSession, str], None]) -> tuple[SparkSession, str]:
+    """The folder that ``write`` fills, filled once a session and input; again if the shared folder was cleared."""
+    source: DataFrame = t("orders")
+    spark = source.sparkSession
+    key = (kind, spark.sparkContext.applicationId, *sorted(source.inputFiles()))
+    folder = _folders.get(key)
+    if folder is None or not snapshots(spark, f"{folder}/whole"):
+        folder = _scratch(spark)
+        write(spark, folder)
+        replace_snapshot(spark.range(1), f"{folder}/whole", SNAPSHOT)
+        _folders[key] = folder
+    return spark, folder
+
+
+def published(t) -> tuple[SparkSession, str]:
+    """The curated tables of the sample registry, written as curation writes them."""
+    def write(spark: SparkSession, folder: str) -> None:
+        replace_snapshot(analytic(t), f"{folder}/obras_analitico", SNAPSHOT, ("uf",))
+        works = read_snapshot(spark, f"{folder}/obras_analitico", SNAPSHOT)
+        for name in curate.MARTS:
+            replace_snapshot(curate.mart(name, works), f"{folder}/{name}", SNAPSHOT)
+
+    return _once(t, "curated", write)
+
+
+def works(t) -> DataFrame:
+    """The published analytic table, from which marts and coverage are made."""
+    spark, folder = published(t)
+    return read_snapshot(spark, f"{folder}/obras_analitico", SNAPSHOT)
+
+
 def questions(t, referenced: bool = True) -> Questions:
-    works = analytic(t)
-    marts = [curate.mart(m, works) for m in ("mart_municipio_ano", "mart_setor_ano", "mart_destinacao_ano")]
-    return Questions(works, *marts, *(reference(t) if referenced else ()))
+    """The questions on the published tables, opened as any user of the engine opens them."""
+    return Questions.open(*published(t), *(reference(t) if referenced else ()))
 
 
 def doubles(df: DataFrame) -> DataFrame:
@@ -214,15 +254,25 @@ _FAULTY = STAGED + """, f_obras as (
 """
 
 
-def faulty(t) -> dict[str, DataFrame]:
+def _with_faults(t) -> dict[str, DataFrame]:
     tables = staged(t)
-    works = tables["obras"].join(t("orders").selectExpr("o_orderkey as k", "cast(o_orderkey - o_orderkey % 3 as string) as cno", RAW["obras"][1]["Data de registro"][1] + " as day").selectExpr(
+    found = tables["obras"].join(t("orders").selectExpr("o_orderkey as k", "cast(o_orderkey - o_orderkey % 3 as string) as cno", RAW["obras"][1]["Data de registro"][1] + " as day").selectExpr(
         "k", "cno as __c", "try_cast(nullif(day, '') as date) as __d"), (F.coalesce("cno", F.lit("501")) == _c("__c")) & _c("data_registro").eqNullSafe(_c("__d")) & (_c("cno").isNull() == (_c("k") == 501)), "left")
-    bad = works.withColumns({
+    bad = found.withColumns({
         "situacao": F.when(_c("k") % 41 != 0, _c("situacao")), "obra_ativa": F.when(_c("k") % 37 != 0, _c("obra_ativa")),
         "responsavel_tipo": F.when(_c("k") % 43 == 0, "PJ").otherwise(_c("responsavel_tipo")), "data_inicio": F.when(_c("k") % 47 == 0, F.lit(date(1970, 1, 1))).otherwise(_c("data_inicio")),
         "uf": F.when(_c("k") % 59 == 0, "ZZ").otherwise(_c("uf"))})
-    return tables | {"obras": bad.unionByName(works.filter("k % 61 = 0"))}
+    return tables | {"obras": bad.unionByName(found.filter("k % 61 = 0"))}
+
+
+def faulty(t) -> dict[str, DataFrame]:
+    """The staged tables with faults, written and read as validation reads them."""
+    def write(spark: SparkSession, folder: str) -> None:
+        for name, table in _with_faults(t).items():
+            replace_snapshot(table, f"{folder}/{name}", SNAPSHOT)
+
+    spark, folder = _once(t, "faulty", write)
+    return {n: read_snapshot(spark, f"{folder}/{n}", SNAPSHOT) for n in staging.TABLES}
 
 
 _CODES = ", ".join(f"'{x}'" for x in D.STATUSES)
@@ -297,34 +347,28 @@ _M_OUT = "n_obras, n_ativas, n_encerradas, n_paralisadas, n_suspensas, n_nulas,
 
 @query(MARTS + f"select uf, codigo_municipio, nome_municipio, ano_inicio, {_M_OUT}, round((lat_mediana + 90) * 16000)::bigint as lat, round((lon_mediana + 180) * 16000)::bigint as lon from municipio_ano")
 def mart_municipio_ano(t):
-    return doubles(curate.mart("mart_municipio_ano", analytic(t)).withColumns({"lat": F.round((_c("lat_mediana") + 90) * 16000).cast("long"), "lon": F.round((_c("lon_mediana") + 180) * 16000).cast("long")}).drop("snapshot_date", "lat_mediana", "lon_mediana"))
+    return doubles(curate.mart("mart_municipio_ano", works(t)).withColumns({"lat": F.round((_c("lat_mediana") + 90) * 16000).cast("long"), "lon": F.round((_c("lon_mediana") + 180) * 16000).cast("long")}).drop("snapshot_date", "lat_mediana", "lon_mediana"))
 
 
 @query(MARTS + f"select uf, cnae_principal, cnae_divisao, ano_inicio, {_M_OUT}, cnae_divisao_nome from setor_ano")
 def mart_setor_ano(t):
-    return doubles(curate.mart("mart_setor_ano", analytic(t)).drop("snapshot_date"))
+    return doubles(curate.mart("mart_setor_ano", works(t)).drop("snapshot_date"))
 
 
 @query(MARTS + f"select uf, destinacao_obra, categoria_obra, faixa_area, ano_inicio, {_M_OUT} from destinacao_ano")
 def mart_destinacao_ano(t):
-    return doubles(curate.mart("mart_destinacao_ano", analytic(t)).drop("snapshot_date"))
+    return doubles(curate.mart("mart_destinacao_ano", works(t)).drop("snapshot_date"))
 
 
 @query(CURATED + """select count(*) as obras, count(*) filter (where whole) as completos, count(*) filter (where short) as curtos, count(*) filter (where geo_origem = 'completo') as decodificados,
   count(*) filter (where geo_origem = 'curto_recuperado') as recuperados, count(latitude) as geocodificadas, count(*) filter (where geo_plausivel) as plausiveis from analitico""")
 def cobertura_geo(t):
-    got = curate.coverage(analytic(t))
+    got = curate.coverage(works(t))
     names = "obras completos curtos decodificados recuperados geocodificadas plausiveis".split()
     return t("orders").sparkSession.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
 # sinks, scans and small operators
-def _scratch(spark: SparkSession) -> str:
-    """A folder of its own in the shared one that the session names; in a temporary one if it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(named or 'file://' + tempfile.mkdtemp(prefix='lodestone-')).rstrip('/')}/sample-{uuid.uuid4().hex}"
-
-
 @query(STAGED + f"""select '{SNAPSHOT}' as snapshot, count(*) as linhas, count(cnae) as com_cnae from cnaes union all select '2026-02-15', count(*), count(cnae) from cnaes where cnae is not null
   union all select 'ultimo', count(*), count(cnae) from cnaes where cnae is not null""")
 def snapshot_replace(t):
