@@ -137,9 +137,49 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m
 """
 
+#: CRC-32, bit by bit, of a time as decimal text
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(8 * length({0})), lambda i: ((ascii(substr({0}, (i // 8 + 1)::INT, 1)) >> (i % 8)::INT) & 1)::BIGINT)),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)))"""
+_SLOT = "(epoch_us({}) - ((epoch_us({}) % 21600000000) + 21600000000) % 21600000000) // 21600000000"
+
+OP11 = f"""
+WITH k AS (SELECT client_id, ts, coalesce(kind = 'error', false) AS err FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY client_id ORDER BY ts) > INTERVAL 15 MINUTE THEN 1 ELSE 0 END AS brk FROM k),
+n AS (SELECT *, sum(brk) OVER (PARTITION BY client_id ORDER BY ts) AS no FROM g),
+e AS (SELECT client_id, no, min(ts) AS a, max(ts) AS z FROM n GROUP BY ALL),
+c AS (SELECT client_id, {_SLOT.format('a', 'a')} AS f, {_SLOT.format('z', 'z')} AS t, {_CRC.format('epoch_us(a)::VARCHAR')} AS crc,
+    (SELECT bool_or(err) FROM n WHERE n.client_id = e.client_id AND n.no = e.no AND n.ts = e.z) AS open FROM e),
+l AS (SELECT sale_id, max(shipped_at) AS shipped FROM sale_lines GROUP BY sale_id),
+s AS (SELECT sale_id, client_id, {_SLOT.format('sold_at', 'sold_at')} AS f, {_SLOT.format('z', 'z')} AS t, open FROM (
+    SELECT sales.sale_id, client_id, sold_at, greatest(sold_at, shipped) AS z, coalesce(status = 'open', false) AS open FROM sales LEFT JOIN l ON l.sale_id = sales.sale_id
+    WHERE client_id IS NOT NULL AND sold_at IS NOT NULL)),
+p AS (SELECT s.sale_id, c.crc, CASE WHEN s.open AND c.open THEN NULL WHEN s.open THEN c.t WHEN c.open THEN s.t ELSE least(s.t, c.t) END - greatest(s.f, c.f) + 1 AS shared,
+    sign(s.f - c.f) AS at_start, CASE WHEN s.open AND c.open THEN 0 WHEN s.open THEN 1 WHEN c.open THEN -1 ELSE sign(s.t - c.t) END AS at_end
+    FROM s JOIN c ON s.client_id = c.client_id AND (s.f <= c.t OR c.open) AND (c.f <= s.t OR s.open))
+SELECT sale_id, CASE WHEN at_start < 0 THEN CASE at_end WHEN -1 THEN 'overlaps' WHEN 0 THEN 'finished_by' ELSE 'contains' END
+    WHEN at_start = 0 THEN CASE at_end WHEN -1 THEN 'starts' WHEN 0 THEN 'equals' ELSE 'started_by' END
+    ELSE CASE at_end WHEN -1 THEN 'during' WHEN 0 THEN 'finishes' ELSE 'overlapped_by' END END AS relation,
+  count(*)::BIGINT AS n_pairs, sum(shared)::BIGINT AS overlap_slots, sum(crc)::BIGINT AS sessions_crc FROM p GROUP BY 1, 2
+"""
+
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, t, len(t) AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+b AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark),
+a AS (SELECT DISTINCT q, unnest(t) AS term FROM b),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM a) GROUP BY ALL),
+g AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), g),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * n * nd) // l AS m FROM d, g),
+s AS (SELECT a.q, m.doc_id, m.r, sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+  FROM a JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+SELECT b.item_id, k.rank::INT AS rank, k.doc_id, k.score FROM k JOIN b USING (q) WHERE k.rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard_join": OP1, "op3_secret_scan": _op3(), "op4_line_dedup": OP4, "op5_quality_rules": _op5(), "op7_decontamination": OP7,
-        "op8_url_filter": OP8, "op10_warc": OP10,
+        "op8_url_filter": OP8, "op10_warc": OP10, "op11_interval_overlap_join": OP11, "op12_ranked_lexical_search": OP12,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter, warc
+from . import decontaminate, fingerprints, intervals, language, linededup, ngramjoin, packing, quality, search, secrets, toxicity, urlfilter, warc
 from .common import scratch_path
 
 
@@ -118,5 +118,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_interval_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.overlaps(*(_table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clicks")))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_next(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}

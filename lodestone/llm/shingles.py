@@ -50,24 +50,24 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return powers[:n], inverses[:n]
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, start)`` of every word of ``data``, bytes in which blanks part words."""
+def word_hashes(data: np.ndarray, between: np.ndarray = _blank) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash, start)`` of every word of ``data``, bytes in which those marked in ``between`` part words."""
     if len(data) <= BLOCK:
-        return _piece(data)
+        return _piece(data, between)
     parts, at = [], 0
     while at < len(data):
         end = at + BLOCK
-        while end < len(data) and not len(blank := np.flatnonzero(_blank[data[end:end + BLOCK]])):
+        while end < len(data) and not len(blank := np.flatnonzero(between[data[end:end + BLOCK]])):
             end += BLOCK  # a word of that length stays whole
         end = min(len(data), end + int(blank[0])) if end < len(data) else len(data)
-        hashes, start = _piece(data[at:end])
+        hashes, start = _piece(data[at:end], between)
         parts.append((hashes, start + at))
         at = end
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inner = ~_blank[data]
+def _piece(data: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    inner = ~between[data]
     edge = np.diff(np.concatenate([[0], inner.view(np.int8), [0]]))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     power, inverse = _power(len(data) + 1)
