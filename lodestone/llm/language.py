@@ -7,8 +7,9 @@ A text gets the language of the centroid with the largest cosine.  Distance-base
 for each centroid, the cosine that all but ``REJECT`` of its own texts exceed; a text that lies further out
 is marked ``rejected`` (the nearest language is still named).
 
-The model is fitted on a bounded sample: at most ``PER_LANGUAGE`` texts of each language, the ones with the
-least hash of their id.  It is a few MB, broadcast to one Arrow pass over all texts; nothing is shuffled.
+The model is fitted on a bounded sample: at most ``PER_LANGUAGE`` distinct texts of each language
+(``training.sample``).  What leaves the executors is a text's n-gram counts, at most ``DIMS`` of them however long
+the text is.  The model is a few MB, broadcast to one Arrow pass over all texts; nothing is shuffled.
 
 Defined cases: a text that is null or holds no letter is ``und`` with score 0; a text of any length is read
 whole; equal cosines go to the language that sorts first; a language with one text has one centroid; without
@@ -24,13 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 DIMS = 1 << 14
 GRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 600
-#: Bytes of the longest text that a sample takes.
-LONGEST_FITTED = 1 << 16
 CLUSTERS = 3
 REJECT = 0.01
 #: A cluster with a smaller share of its language's texts is noise and gets no centroid.
@@ -85,6 +83,21 @@ def counts(text: str | None) -> np.ndarray | None:
     return out
 
 
+def bag(text: str | None) -> bytes | None:
+    """The counts of a text's slots as bytes; None if it has no letter."""
+    count = counts(text)
+    if count is None:
+        return None
+    at = np.flatnonzero(count)
+    return at.astype(np.uint16).tobytes() + count[at].astype(np.int64).tobytes()
+
+
+def _opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """``(slots, counts)`` of a bag."""
+    n = len(data) // 10
+    return np.frombuffer(data, np.uint16, n).astype(np.int64), np.frombuffer(data, np.int64, n, 2 * n)
+
+
 @dataclass
 class Model:
     idf: np.ndarray
@@ -92,35 +105,36 @@ class Model:
     languages: list[str]
     least: np.ndarray
 
-    def vector(self, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(count)
-        v = (1 + np.log(count[at])) * self.idf[at]
+    def vector(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        v = (1 + np.log(count)) * self.idf[at]
         size = np.sqrt((v * v).sum())
-        return at, (v / size if size else v).astype(np.float32)
+        return (v / size if size else v).astype(np.float32)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         count = counts(text)
         if count is None or not len(self.languages):
             return UNKNOWN, 0.0, True
-        at, v = self.vector(count)
-        cosine = self.centroids[at].T @ v
+        at = np.flatnonzero(count)
+        cosine = self.centroids[at].T @ self.vector(at, count[at])
         best = int(np.argmax(cosine))
         return self.languages[best], float(min(1.0, max(0.0, cosine[best]))), bool(cosine[best] < self.least[best])
 
 
 def fit(texts: list[str | None], languages: list[str], clusters: int = CLUSTERS, rounds: int = 8) -> Model:
-    bags = [(counts(t), lang) for t, lang in zip(texts, languages, strict=True)]
-    bags = [(c, lang) for c, lang in bags if c is not None]
+    return fit_bags([bag(t) for t in texts], languages, clusters, rounds)
+
+
+def fit_bags(of_texts: list[bytes | None], languages: list[str], clusters: int = CLUSTERS, rounds: int = 8) -> Model:
+    bags = [(_opened(b), lang) for b, lang in zip(of_texts, languages, strict=True) if b is not None]
     seen = np.zeros(DIMS)
-    for c, _ in bags:
-        seen += c > 0
+    for (at, _), _ in bags:
+        seen[at] += 1
     model = Model(np.log((1 + len(bags)) / (1 + seen)) + 1, np.zeros((DIMS, 0), np.float32), [], np.zeros(0))
     names, centres, least = [], [], []
     for lang in sorted({x for _, x in bags}):
         rows = np.zeros((sum(x == lang for _, x in bags), DIMS), np.float32)
-        for row, c in zip(rows, (c for c, x in bags if x == lang), strict=True):
-            at, v = model.vector(c)
-            row[at] = v
+        for row, (at, count) in zip(rows, (b for b, x in bags if x == lang), strict=True):
+            row[at] = model.vector(at, count)
         mean = rows.mean(axis=0)
         order = np.argsort(rows @ mean, kind="stable")
         k = min(clusters, len(rows))
@@ -145,33 +159,6 @@ def fit(texts: list[str | None], languages: list[str], clusters: int = CLUSTERS,
     return model
 
 
-def sample(labelled: DataFrame, docs: DataFrame, label: str, per_label: int) -> list[tuple]:
-    """At most ``per_label`` ``(text, label)`` of each label, those with the least hash of the id.
-
-    ``labelled`` has doc_id and label, ``docs`` doc_id and text.  Only ids are ranked; the few chosen ones are
-    broadcast to one scan of the texts.
-
-    A cut on the hash, from the labels' counts, leaves about twice as many before any are ranked, so no task
-    meets a whole label.  An id with two labels counts under the lesser.  Texts of over ``LONGEST_FITTED`` bytes are
-    left out of the sample, so that what reaches the driver is bounded in bytes too.
-    """
-    spark = docs.sparkSession
-    ids = labelled.select("doc_id", label).filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-    sizes = [(r[label], r["n"]) for r in ids.groupBy(label).agg(F.count("*").alias("n")).collect()]
-    if not sizes:
-        return []
-    span = 1 << 30
-    cuts = spark.createDataFrame([(k, min(span, -(-span * 2 * per_label // n))) for k, n in sizes], f"{label} {dict(labelled.dtypes)[label]}, cut long")
-    order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(span))
-    near = ids.join(F.broadcast(cuts), label).filter(order < F.col("cut")).groupBy("doc_id").agg(F.min(label).alias(label)).withColumn("order", order)
-    chosen = near.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy("order", "doc_id"))).filter(F.col("rank") <= per_label)
-    labels = {r["doc_id"]: r[label] for r in chosen.select("doc_id", label).collect()}
-    wanted = spark.createDataFrame([(k,) for k in labels], "doc_id long")
-    whole = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST_FITTED)
-    got = whole.join(F.broadcast(wanted), "doc_id").collect()
-    return [(r["text"], labels[r["doc_id"]]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"] or ""))]
-
-
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` of each of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, intervals, language, linededup, ngramjoin, packing, quality, search, secrets, toxicity, urlfilter, warc
+from . import decontaminate, fingerprints, intervals, language, linededup, ngramjoin, packing, quality, search, secrets, toxicity, training, urlfilter, warc
 from .common import scratch_path
 
 
@@ -26,9 +26,8 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    known = labels.filter(~_held_out(5, 0)).join(docs.select("doc_id"), "doc_id", "left_semi")
-    sample = language.sample(known, docs, "toxic", toxicity.PER_CLASS)
-    return toxicity.fit([t for t, _ in sample], [y for _, y in sample])
+    sample = training.sample(docs, labels.filter(~_held_out(5, 0)), "toxic", toxicity.PER_CLASS, toxicity.bag)
+    return toxicity.fit_bags([b for b, _ in sample], [y for _, y in sample])
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +62,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *q, "base_failed", "kept")
 
 
+def language_model(docs: DataFrame) -> language.Model:
+    sample = training.sample(docs.filter(~_held_out(4, 2)), None, "lang", language.PER_LANGUAGE, language.bag)
+    return language.fit_bags([b for b, _ in sample], [x for _, x in sample])
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    sample = language.sample(docs.select("doc_id", "lang").filter(~_held_out(4, 2)), docs, "lang", language.PER_LANGUAGE)
-    model = language.fit([t for t, _ in sample], [x for _, x in sample])
-    return language.identify(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return language.identify(docs, language_model(docs)).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

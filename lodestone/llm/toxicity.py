@@ -3,13 +3,16 @@
 A word's vector is the mean of the vectors of its known character n-grams (3 to 5, with word ends) and of the
 word itself, all in one hashed table; a text's vector is the mean of its words'; a linear softmax gives the
 classes.  A misspelt word shares most n-grams with the word it stands for.  Table and softmax are trained
-jointly by Adagrad on mini-batches with class weights.
+jointly by Adagrad on mini-batches.  The fit is then shrunk: with n texts of the rarer class its logit counts
+``n^2 / (n^2 + SHRINK^2)``, the logit of the training texts' share of label 1 the rest.  With few labels all scores
+lie near that share; with many the fit stands as it is.
 
 The model is linear in the mean, so each word adds a number of its own to a text's logit; scoring looks up
 the numbers of words already met, and a text's length does not matter.
 
-Fitted on a bounded sample: at most ``PER_CLASS`` labelled texts of each class, the ones with the least hash
-of their id.  Scoring is one Arrow pass over all texts; nothing is shuffled.
+Fitted on a bounded sample: at most ``PER_CLASS`` distinct labelled texts of each class (``training.sample``).  What
+leaves the executors is a text's distinct words with their counts; of a text with more than ``WORDS_FITTED`` of them
+those with the least CRC stand for all, in the fit only.  Scoring is one Arrow pass over all texts; nothing is shuffled.
 
 Defined cases: null and wordless texts score as the bias says, which is under one half unless most training
 texts without words are toxic; without labelled texts of both classes every score is the share of label 1, or
@@ -18,8 +21,11 @@ texts without words are toxic; without labelled texts of both classes every scor
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +41,10 @@ SIZES = (3, 4, 5)
 LEAST_TEXTS = 4
 PER_CLASS = 2000
 EPOCHS = 5
+#: Distinct words of a text that the fit takes: a sample of a long text's vocabulary.
+WORDS_FITTED = 1 << 14
+#: Texts of the rarer class at which the fit counts half.
+SHRINK = 100
 CACHE = 600_000
 #: Words: letters, digits and the signs that stand in for letters.
 WORD = re.compile(r"[^\W_]+(?:[@$!*'’_.-]+[^\W_]+)*")
@@ -69,6 +79,14 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def bag(text: str | None) -> bytes:
+    """The distinct words of a text and their counts, as JSON."""
+    found = Counter(words(text))
+    if len(found) > WORDS_FITTED:
+        found = {w: found[w] for w in sorted(found, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:WORDS_FITTED]}
+    return json.dumps(found).encode()
+
+
 @dataclass
 class Model:
     """``weight``: what each slot adds to a word's logit, once the fit is done."""
@@ -106,7 +124,11 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(starts - total + sizes, sizes)
 
 
-def fit(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: int = EPOCHS, rate: float = 0.5, batch: int = 64) -> Model:
+def fit(texts: list[str | None], labels: list[int], **more) -> Model:
+    return fit_bags([bag(t) for t in texts], labels, **more)
+
+
+def fit_bags(of_texts: list[bytes], labels: list[int], dims: int = DIMS, epochs: int = EPOCHS, rate: float = 0.5, batch: int = 64) -> Model:
     """Joint training; the same input always gives the same model."""
     y = np.array(labels, np.int64)
     share = float(y.mean()) if len(y) else 0.0
@@ -115,11 +137,8 @@ def fit(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: in
     rng = np.random.default_rng(1)
     names: dict[str, int] = {}
     bags = []
-    for t in texts:
-        found: dict[int, int] = {}
-        for w in words(t):
-            k = names.setdefault(w, len(names))
-            found[k] = found.get(k, 0) + 1
+    for data in of_texts:
+        found = {names.setdefault(w, len(names)): n for w, n in json.loads(data).items()}
         ids = np.fromiter(found, np.int64, len(found))
         n = np.fromiter(found.values(), np.float32, len(found))
         bags.append((ids, n / max(1.0, n.sum())))
@@ -172,9 +191,12 @@ def fit(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: in
             soft -= rate * d_soft / np.sqrt(g_soft)
             g_bias += d_bias * d_bias
             bias -= rate * d_bias / np.sqrt(g_bias)
+    # drawn towards the share of label 1, the more so the fewer texts the rarer class has
+    rarer = min(int(y.sum()), len(y) - int(y.sum()))
+    trust = rarer ** 2 / (rarer ** 2 + SHRINK ** 2)
     weight = np.zeros(1 << SLOT_BITS, np.float32)
-    weight[used] = table @ (soft[:, 1] - soft[:, 0])
-    return Model(weight, float(bias[1] - bias[0]))
+    weight[used] = table @ (soft[:, 1] - soft[:, 0]) * np.float32(trust)
+    return Model(weight, trust * float(bias[1] - bias[0]) + (1 - trust) * math.log(share / (1 - share)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, language, linededup, ngramjoin, oracle, packing, quality, secrets, toxicity, urlfilter, warc
+from lodestone.llm import decontaminate, language, linededup, ngramjoin, oracle, packing, quality, secrets, toxicity, training, urlfilter, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -375,4 +375,4 @@ def test_empty_tables(spark, empty):
     root = ngramjoin.materialise.__globals__["scratch_path"](spark, "none")
     warc.write_warc(pages, root)
     assert warc.read_warc(spark, root).collect() == []
-    assert language.sample(empty.select("doc_id", "lang"), empty, "lang", 5) == []
+    assert training.sample(empty, None, "lang", 5, language.bag) == []
