@@ -7,7 +7,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import files
 from ..sources.tables import SourceError, read_csv, read_snapshot, replace_snapshot
@@ -85,9 +86,10 @@ def transform(spark: SparkSession, s: Settings, snapshot: str | None = None) ->
     with files.lock(s.data / "locks", snapshot):
         for name, table in staging.TABLES.items():
             source = read_csv(spark, "file://" + str(Path(raw["files"][table.file]["path"]).resolve()), table.headers)
-            read = source.count()
+            read = Observation()  # rows in are counted by the pass that writes
+            source = source.observe(read, F.count(F.lit(1)).alias("n"))
             wrote = replace_snapshot(staging.stage(name, source, snapshot), f"{s.store}/staging/{name}", snapshot, table.partitions)
-            out[name] = {"lidas": read, **wrote, "duplicatas": read - wrote["linhas"]}
+            out[name] = {"lidas": read.get["n"], **wrote, "duplicatas": read.get["n"] - wrote["linhas"]}
     return _done(s, "staging", snapshot, {"tabelas": out, "totals": raw.get("totals", {})})
 
 
