@@ -28,7 +28,8 @@ the whole sequence is the one shingle; null, empty and blank texts have none and
 component is their own id); rows that share a doc_id count as one node; a null doc_id gets a null component;
 ``n_links`` counts the texts other than the row's own that link with it, a text being a doc_id with a set, so that
 repeated rows count once and an id with two sets twice; it is null for a null doc_id;
-repeated rows get a row each; an empty table gives no rows; extra columns are ignored.  Hashes have 64 bits.
+repeated rows get a row each; an empty table gives no rows; extra columns are ignored.  Shingles are known by 64 bits of
+hash, classes by 108 and their size.
 """
 
 from __future__ import annotations
@@ -62,16 +63,23 @@ REMEMBERED = 200_000
 #: Classes of a bucket that one task's tree holds; a task of a larger bucket holds two such parts.
 BUCKET = 16_384
 
+#: Counts that one task's tree holds of a bucket, four bytes each.
+BUCKET_COUNTS = 1 << 24
+#: Classes of a part of a bucket at least, however few rows the tasks have.
+LEAST_PART = 512
+#: Bits of hash in ``cid``, above the 20 of the size; fewer only in tests.
+ID_BITS = 44
+
 POINTS = "doc_id long, cid long, check long, n long, counts binary"
 
 
-def class_ids(s: np.ndarray) -> tuple[int, int]:
-    """A class's id, whose low 20 bits are its size, and a second hash of its set."""
+def class_ids(s: np.ndarray, bits: int = ID_BITS) -> tuple[int, int]:
+    """A class is known by both numbers: ``cid``, hash bits over 20 bits of size, and ``check``, 64 bits of another hash."""
     if not len(s):
         return 0, 0
     sums = np.array([np.bitwise_xor.reduce(mix(s + np.uint64(11))), np.add.reduce(mix(s + np.uint64(23)), dtype=np.uint64)])
     one, two = (int(x) for x in mix(sums + np.uint64(len(s))))
-    cid = (one >> 20 << 20) | min(len(s), (1 << 20) - 1)
+    cid = (one >> (64 - bits) << 20) | min(len(s), (1 << 20) - 1)
     return _signed(cid), _signed(two)
 
 
@@ -112,22 +120,26 @@ def grids(vectors: list[np.ndarray], sizes: np.ndarray) -> Iterator[tuple[np.nda
         yield at, np.stack([vectors[k].astype(np.int32) if len(vectors[k]) == groups else vectors[k].astype(np.int32).reshape(groups, 4).sum(axis=1) for k in at])
 
 
-def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _points(bits: int):
     """A row for each text; at the end the task's table of slots, in ``_PARTS`` rows with n = -1."""
-    slots = np.zeros(SLOTS, np.int64)
     names = ["doc_id", "cid", "check", "n", "counts"]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    for batch in batches:
-        rows = []
-        for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1)), strict=True):
-            rows.append((doc, *class_ids(s), len(s), count_vector(s) if len(s) else b""))
-            slots[(s & np.uint64(SLOTS - 1)).astype(np.intp)] += 1  # distinct in s, but not their slots: an estimate of order only
-        if rows:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            rows = []
+            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1)), strict=True):
+                rows.append((doc, *class_ids(s, bits), len(s), count_vector(s) if len(s) else b""))
+                slots[(s & np.uint64(SLOTS - 1)).astype(np.intp)] += 1  # distinct in s, but not their slots: an estimate of order only
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        if slots.any():
+            parts = np.split(slots, _PARTS)
+            rows = [(None, k, 0, -1, p.tobytes()) for k, p in enumerate(parts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-    if slots.any():
-        parts = np.split(slots, _PARTS)
-        rows = [(None, k, 0, -1, p.tobytes()) for k, p in enumerate(parts)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return run
 
 
 def _sum_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,41 +151,44 @@ def _sum_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["cid", "counts"])
 
 
-def _prefixes(order: np.ndarray):
+def _prefixes(order: np.ndarray, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = order.value
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            tokens, owners = [], []
+            tokens, owners, checks = [], [], []
             for s in shingle_sets(batch.column(0)):
                 n = len(s)
                 if not n:
                     continue
-                cid, _ = class_ids(s)
-                if cid in seen:
+                cid, check = class_ids(s, bits)
+                if (cid, check) in seen:
                     continue
                 if len(seen) < REMEMBERED:
-                    seen.add(cid)
+                    seen.add((cid, check))
                 m = n - -(-4 * n // 5) + 1
                 held = slots[(s & np.uint64(SLOTS - 1)).astype(np.intp)]
                 tokens.append(s[np.argsort(held, kind="stable")[:m]])
                 owners.append(np.full(m, cid, np.int64))
+                checks.append(np.full(m, check, np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], ["token", "cid"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(checks))], ["token", "cid", "check"])
 
     return run
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, cid) in; ``(bucket, cid)`` of the tokens with two classes or more out."""
-    rest_t, rest_c = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Rows sorted by (token, cid, check) in; ``(bucket, cid, check)`` of the tokens with two classes or more out."""
+    none = np.zeros(0, np.int64)
+    rest = (none, none, none)
     known: set[int] = set()
     long: int | None = None  # the token whose first pieces are out
+    names = ["bucket", "cid", "check"]
 
-    def cut(t: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def cut(t: np.ndarray, c: np.ndarray, k: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.ones(len(t), bool)
-        first[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
-        t, c = t[first], c[first]
+        first[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1]) | (k[1:] != k[:-1])
+        t, c, k = t[first], c[first], k[first]
         starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(t)]]))
         several = (sizes > 1) | (t[starts] == long) if long is not None else sizes > 1
@@ -182,38 +197,37 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, sizes = starts[several], sizes[several]
         rows = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         heads = np.cumsum(sizes) - sizes
-        name = mix(np.add.reduceat(mix(c[rows].view(np.uint64)), heads) + sizes.astype(np.uint64)).view(np.int64)
+        name = mix(np.add.reduceat(mix(mix(c[rows].view(np.uint64)) + k[rows].view(np.uint64)), heads) + sizes.astype(np.uint64)).view(np.int64)
         if long is not None and t[starts[0]] == long:
             name[0] = long  # the rest joins the pieces under the token
             known.discard(long)
         fresh = np.zeros(len(name), bool)
-        for k, x in enumerate(name.tolist()):
+        for at, x in enumerate(name.tolist()):
             if x not in known:
-                fresh[k] = True
+                fresh[at] = True
                 if len(known) < REMEMBERED:
                     known.add(x)
         take = np.repeat(fresh, sizes)
         if take.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, sizes)[take]), pa.array(c[rows][take])], ["bucket", "cid"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, sizes)[take]), pa.array(c[rows][take]), pa.array(k[rows][take])], names)
 
     for batch in batches:
-        t = np.concatenate([rest_t, batch.column(0).to_numpy()])
-        c = np.concatenate([rest_c, batch.column(1).to_numpy()])
+        t, c, k = (np.concatenate([r, batch.column(n).to_numpy()]) for n, r in enumerate(rest))
         if not len(t):
             continue
         stop = int(np.searchsorted(t, t[-1], side="left"))
         if len(t) - stop > LONGEST_KNOWN:  # one bucket without end: it goes out under its token, piece by piece
             if stop:
-                yield from cut(t[:stop], c[:stop])
-            yield pa.RecordBatch.from_arrays([pa.array(t[stop:]), pa.array(c[stop:])], ["bucket", "cid"])
+                yield from cut(t[:stop], c[:stop], k[:stop])
+            yield pa.RecordBatch.from_arrays([pa.array(t[stop:]), pa.array(c[stop:]), pa.array(k[stop:])], names)
             long = int(t[-1])
-            rest_t, rest_c = t[-1:], c[-1:]
+            rest = t[-1:], c[-1:], k[-1:]
             continue
         if stop:
-            yield from cut(t[:stop], c[:stop])
-        rest_t, rest_c = t[stop:], c[stop:]
-    if len(rest_t):
-        yield from cut(rest_t, rest_c)
+            yield from cut(t[:stop], c[:stop], k[:stop])
+        rest = t[stop:], c[stop:], k[stop:]
+    if len(rest[0]):
+        yield from cut(*rest)
 
 
 class Forest:
@@ -329,7 +343,7 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``bucket, i, j, cid, n, counts`` sorted by bucket, i, j in; edges of the forests of the bounds out."""
+    """``bucket, i, j, class, n, counts`` sorted by bucket, i, j in; edges of the forests of the bounds out, between classes' numbers."""
     out: list[tuple[int, int]] = []
     done: set[tuple[int, int]] = set()
     for table in _runs(batches, 3):
@@ -360,21 +374,25 @@ MEMBERS = "family long, i int, j int, chunk int, cid long, check long, rep long,
 LINKS = "a long, b long, cid long, check long, links long"
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(bits: int):
     """``rep, docs, cid, check, family, chunk, chunks, text`` in; the class's set, once for each task it takes part in, out."""
     names = ["family", "i", "j", "chunk", "cid", "check", "rep", "docs", "n", "shingles"]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    for batch in batches:
-        cols = [batch.column(k).to_pylist() for k in range(7)]
-        for row, (rep, docs, cid, check, family, chunk, chunks) in enumerate(zip(*cols, strict=True)):
-            s = next(shingle_sets(batch.column(7).slice(row, 1)))
-            if class_ids(s) != (cid, check):
-                continue  # another text under the same doc_id
-            data = s.tobytes()
-            for at in range(0, chunks, 64):
-                others = range(at, min(chunks, at + 64))
-                rows = [(family, min(chunk, k), max(chunk, k), chunk, cid, check, rep, docs, len(s), data) for k in others]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(k).to_pylist() for k in range(7)]
+            for row, (rep, docs, cid, check, family, chunk, chunks) in enumerate(zip(*cols, strict=True)):
+                s = next(shingle_sets(batch.column(7).slice(row, 1)))
+                if class_ids(s, bits) != (cid, check):
+                    continue  # another text under the same doc_id
+                data = s.tobytes()
+                for at in range(0, chunks, 64):
+                    others = range(at, min(chunks, at + 64))
+                    rows = [(family, min(chunk, k), max(chunk, k), chunk, cid, check, rep, docs, len(s), data) for k in others]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,23 +475,28 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def in_parts(met: DataFrame, most: int) -> DataFrame:
-    """``bucket, cid, i, j``: members of buckets of over ``most`` dealt into parts, a row for each two parts that meet.
+def in_parts(met: DataFrame, most: int, counts: int = BUCKET_COUNTS) -> DataFrame:
+    """``bucket, cid, check, i, j``: members of buckets of over ``most`` classes, or over ``counts`` counts, dealt into
+    parts, a row for each two parts that meet.
 
-    Only the large buckets' sizes are joined back: at most one for each ``most`` rows, broadcast after a count.
+    A class holds at most a third of its size in counts, or ``GROUPS``.  Only the large buckets' sizes are joined back: at
+    most one for each ``most`` rows or ``counts`` counts, broadcast after a count.
     """
-    large = materialise(met.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).filter("parts > 1"), "large-buckets")
-    dealt = met.join(small_side(large), "bucket", "left").withColumn("part", F.expr("cast(pmod(xxhash64(cid), parts) as int)"))
+    size = F.col("cid").bitwiseAND(F.lit((1 << 20) - 1))
+    held = F.sum(F.greatest(F.lit(GROUPS), F.ceil(size / 3)))
+    parts = F.greatest(F.ceil(F.count("*") / most), F.ceil(held / counts)).cast("int")
+    large = materialise(met.groupBy("bucket").agg(parts.alias("parts")).filter("parts > 1"), "large-buckets")
+    dealt = met.join(small_side(large), "bucket", "left").withColumn("part", F.expr("cast(pmod(xxhash64(cid, check), parts) as int)"))
     others = F.explode(F.expr("if(parts is null, array(0), filter(sequence(0, parts - 1), k -> k <> part))")).alias("k")
     part = F.coalesce("part", F.lit(0))
-    return dealt.select("bucket", "cid", part.alias("part"), others).select("bucket", "cid", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
+    return dealt.select("bucket", "cid", "check", part.alias("part"), others).select("bucket", "cid", "check", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of each of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    points = materialise(texts.mapInArrow(_points, POINTS), "points")
+    points = materialise(texts.mapInArrow(_points(ID_BITS), POINTS), "points")
     parts = points.filter("n = -1").select("cid", "counts").repartition(_PARTS, "cid").mapInArrow(_sum_slots, "cid long, counts binary").collect()
     slots = np.zeros(SLOTS, np.int64)
     for cid, data in parts:
@@ -482,26 +505,28 @@ def join(docs: DataFrame) -> DataFrame:
 
     rows = points.filter("n >= 0").select("doc_id", "cid", "check", "n")
     held = points.filter("n > 0 and doc_id is not null")
-    classes = materialise(held.groupBy("cid", "check", "n").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"), F.first("counts").alias("counts")), "classes")
+    classes = materialise(held.groupBy("cid", "check", "n").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("docs"), F.first("counts").alias("counts")).withColumn("class", F.monotonically_increasing_id()), "classes")
 
-    tokens = texts.filter("doc_id is not null").select("text").mapInArrow(_prefixes(order), "token long, cid long")
+    tokens = texts.filter("doc_id is not null").select("text").mapInArrow(_prefixes(order, ID_BITS), "token long, cid long, check long")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = tokens.repartition(width, "token").sortWithinPartitions("token", "cid").mapInArrow(_buckets, "bucket long, cid long").distinct()
-    parts = in_parts(materialise(met, "buckets"), BUCKET)
-    vectors = parts.join(classes.select("cid", "n", "counts"), "cid").select("bucket", "i", "j", "cid", "n", "counts")
-    near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cid").mapInArrow(_families, EDGES)
+    met = tokens.repartition(width, "token").sortWithinPartitions("token", "cid", "check").mapInArrow(_buckets, "bucket long, cid long, check long").distinct()
+    met = materialise(met, "buckets")
+    # where tasks have few rows, smaller parts keep a large bucket from standing out; pairs and results are the same
+    parts = in_parts(met, min(BUCKET, max(LEAST_PART, 2 * met.count() // width)))
+    vectors = parts.join(classes.select("cid", "check", "class", "n", "counts"), ["cid", "check"]).select("bucket", "i", "j", "class", "n", "counts")
+    near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "class").mapInArrow(_families, EDGES)
     families = components(near)
 
-    members = families.select(F.col("node").alias("cid"), F.col("root").alias("family"))
-    members = members.unionByName(members.select(F.col("family").alias("cid"), "family").distinct())
-    members = members.join(classes.select("rep", "docs", "cid", "check", "n"), "cid")
+    members = families.select(F.col("node").alias("class"), F.col("root").alias("family"))
+    members = members.unionByName(members.select(F.col("family").alias("class"), "family").distinct())
+    members = members.join(classes.select("class", "rep", "docs", "cid", "check", "n"), "class")
     load = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("held"))
     chunks = F.greatest(F.ceil(F.col("sets") / CHUNK), F.ceil(F.col("held") / CHUNK_SHINGLES)).cast("int")
     members = materialise(members.join(load.select("family", chunks.alias("chunks")), "family").select(
         "rep", "docs", "cid", "check", "family", F.pmod(F.xxhash64("cid", "check"), F.col("chunks")).cast("int").alias("chunk"), "chunks"), "members")
     small = members.count() <= BROADCAST_MEMBERS
     chosen = (F.broadcast(members) if small else members).join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "docs", "cid", "check", "family", "chunk", "chunks", "text")
-    sets = chosen.mapInArrow(_sets, MEMBERS).repartition(width, "family", "i", "j").sortWithinPartitions("family", "i", "j", "cid", "check")
+    sets = chosen.mapInArrow(_sets(ID_BITS), MEMBERS).repartition(width, "family", "i", "j").sortWithinPartitions("family", "i", "j", "cid", "check")
     # rows of whole sets: few to an Arrow batch, so that a batch of long ones stays small
     rows_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows_key)

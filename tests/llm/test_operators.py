@@ -93,21 +93,32 @@ def test_long_buckets_stay_together(monkeypatch):
     members = {-5: range(3), 1: range(40), 2: range(1), 3: range(41), 4: range(9), 8: range(8, 9)}
     rows = [(t, c) for t, cs in members.items() for c in cs]
     for step in (1, 3, 10, 200):
-        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[k:k + step], strict=True)], ["token", "cid"]) for k in range(0, len(rows), step)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*((t, 4, c) for t, c in rows[k:k + step]), strict=True)], ["token", "cid", "check"]) for k in range(0, len(rows), step)]
         out: dict[int, set[int]] = {}
         for b in ngramjoin._buckets(iter(batches)):
-            for bucket, cid in zip(*map(pa.Array.to_pylist, b.columns), strict=True):
-                out.setdefault(bucket, set()).add(cid)
+            for bucket, _, check in zip(*map(pa.Array.to_pylist, b.columns), strict=True):
+                out.setdefault(bucket, set()).add(check)
         assert all(set(cs) in out.values() for cs in members.values() if len(cs) > 1), step
 
 
 def test_parts_of_a_bucket_all_meet(spark):
-    met = spark.createDataFrame([(1, c) for c in range(60)] + [(2, c) for c in range(3)], "bucket long, cid long")
-    tasks: dict[tuple, set[int]] = {}
-    for r in ngramjoin.in_parts(met, 10).collect():
-        tasks.setdefault((r.bucket, r.i, r.j), set()).add(r.cid)
-    assert tasks[2, 0, 0] == {0, 1, 2} and len(tasks) == 16
-    assert all(any({a, b} <= t for k, t in tasks.items() if k[0] == 1) for a in range(60) for b in range(a))
+    met = spark.createDataFrame([(1, 9, c) for c in range(60)] + [(2, 9, c) for c in range(3)] + [(3, 900_000, c) for c in range(9)], "bucket long, cid long, check long")
+    for most, counts, n in ((10, 1 << 24, 15), (1000, 640, 15), (1000, 1 << 24, 1)):  # by classes, by counts held, not at all
+        tasks: dict[tuple, set[int]] = {}
+        for r in ngramjoin.in_parts(met, most, counts).collect():
+            tasks.setdefault((r.bucket, r.i, r.j), set()).add(r.check)
+        assert tasks[2, 0, 0] == {0, 1, 2} and sum(k[0] == 1 for k in tasks) == n
+        assert all(any({a, b} <= t for k, t in tasks.items() if k[0] == 1) for a in range(60) for b in range(a))
+    large = {(r.i, r.j) for r in ngramjoin.in_parts(met, 1000, 600_000).filter("bucket = 3").collect()}  # nine classes of 300,000 counts each
+    assert len(large) > 1
+
+
+@pytest.mark.parametrize("bits", [0, 2])
+def test_ngram_join_with_equal_ids(spark, docs, texts, bits, monkeypatch):
+    """Classes whose ids are equal, up to all those of one size, still link: the second hash tells them apart."""
+    monkeypatch.setattr(ngramjoin, "ID_BITS", bits)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.join(docs).collect()}
+    assert got == components(texts)
 
 
 def test_count_tree_keeps_every_pair():
