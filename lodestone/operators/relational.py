@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,10 +17,15 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that the session names for what all executors read."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """A small aggregate that several plans read, computed once: checkpointed where the session names a shared folder."""
+    """What several plans read, computed once: checkpointed in the shared folder; as it is where the session names none."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    folder = shared_folder(spark)
     if not folder:
         return df
     if spark.sparkContext.getCheckpointDir() is None:
@@ -29,8 +34,8 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, key: str, by: str) -> DataFrame:
-    """One row of each key: the last by ``by``, nulls last; ties go to the least row, so reruns agree."""
-    order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last(), F.xxhash64(*df.columns), *[F.col(c).asc_nulls_last() for c in df.columns])
+    """One row of each key: the last by ``by``, nulls last; ties go to the row of least hash, so reruns agree."""
+    order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last(), F.xxhash64(*df.columns))
     return df.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
@@ -61,10 +66,16 @@ def top(df: DataFrame, n: int, by: str) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in df.columns if c != by]).limit(n)
 
 
-def share(value: Column, digits: int) -> Column:
-    """Percentage of the total over all rows.  For aggregated frames: the window holds every row."""
-    total = F.sum(value.cast("double")).over(Window.partitionBy())
-    return F.round(F.try_divide(100.0 * value.cast("double"), total), digits)
+def with_shares(df: DataFrame, shares: dict[str, tuple[str, int]]) -> DataFrame:
+    """``df`` with percentages of the totals over all rows: ``{new column: (column, digits)}``.
+
+    The totals are an aggregate of one row, which meets every row by a broadcast; no task holds all rows.
+    """
+    values = list(dict.fromkeys(c for c, _ in shares.values()))
+    total = df.agg(*[F.sum(F.col(c).cast("double")).alias(f"__t_{c}") for c in values])
+    out = df.join(F.broadcast(total))  # one row
+    out = out.withColumns({n: F.round(F.try_divide(100.0 * F.col(c).cast("double"), F.col(f"__t_{c}")), d) for n, (c, d) in shares.items()})
+    return out.drop(*[f"__t_{c}" for c in values])
 
 
 def join_reference(df: DataFrame, places: DataFrame, corrections: DataFrame, population: str, state: str = "uf", name: str = "nome_municipio") -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql.window import Window
 from .. import domains as D
 from ..functions import columns as X
 from ..functions import olc
-from ..operators.relational import arg_max, first_by, join_reference, latest, rows_of, share, small
+from ..operators import quantiles as exact
+from ..operators.relational import arg_max, first_by, join_reference, latest, rows_of, small, with_shares
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,8 +214,15 @@ def rule_flags_filled(t):
 
 @query("""SELECT count(*) AS n, quantile_cont(l_extendedprice, 0.25) AS p25, median(l_extendedprice) AS p50, quantile_cont(l_extendedprice, 0.75) AS p75 FROM (SELECT floor(l_extendedprice)::DOUBLE AS l_extendedprice FROM lineitem)""")
 def quantiles(t):
-    q = F.percentile(F.floor("l_extendedprice").cast("double"), F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    return t("lineitem").agg(F.count("*").alias("n"), q.alias("q")).select("n", *[F.get("q", F.lit(i)).alias(x) for i, x in enumerate(("p25", "p50", "p75"))])
+    price = F.floor("l_extendedprice").cast("double")
+    return exact.with_quantiles(t("lineitem").agg(F.count("*").alias("n")), t("lineitem"), [], {"p25": (price, 0.25), "p50": (price, 0.5), "p75": (price, 0.75)})
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, quantile_cont(l_quantity::DOUBLE, 0.9) AS q90, median(l_extendedprice::DOUBLE) AS mid FROM lineitem GROUP BY ALL""")
+def quantiles_by_group(t):
+    """Few groups, each of a large share of all rows."""
+    keys = ["l_returnflag", "l_linestatus"]
+    return exact.with_quantiles(t("lineitem").groupBy(*keys).agg(F.count("*").alias("n")), t("lineitem"), keys, {"q90": (_c("l_quantity"), 0.9), "mid": (_c("l_extendedprice"), 0.5)})
 
 
 @query("""SELECT least(floor(o_totalprice / 20000) * 20000, 300000)::DOUBLE AS start, count(*) AS n FROM orders WHERE o_totalprice > 0 GROUP BY 1""")
@@ -225,12 +233,12 @@ def histogram(t):
 
 @query("""SELECT c_mktsegment, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2)::DOUBLE AS pct FROM customer GROUP BY 1""")
 def share_of_total(t):
-    return t("customer").groupBy("c_mktsegment").agg(F.count("*").alias("n")).withColumn("pct", share(_c("n"), 2))
+    return with_shares(t("customer").groupBy("c_mktsegment").agg(F.count("*").alias("n")), {"pct": ("n", 2)})
 
 
 @query("""SELECT p_brand, count(*) AS n, sum(p_size)::BIGINT AS size, round(100.0 * sum(p_size) / sum(sum(p_size)) OVER (), 1)::DOUBLE AS pct FROM part GROUP BY 1""")
 def share_of_value(t):
-    return t("part").groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("size")).withColumn("pct", share(_c("size"), 1))
+    return with_shares(t("part").groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("size")), {"pct": ("size", 1)})
 
 
 @query("""SELECT what, n FROM (UNPIVOT (SELECT count(*)::BIGINT AS rows, count(DISTINCT o_custkey)::BIGINT AS customers, max(o_orderkey)::BIGINT AS last, NULL::BIGINT AS none FROM orders) ON COLUMNS(*) INTO NAME what VALUE n)""")

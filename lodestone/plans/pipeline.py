@@ -11,6 +11,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import files
+from ..sources.leases import lease
 from ..sources.tables import SourceError, read_csv, read_snapshot, replace_snapshot
 from . import curate, rules, staging
 
@@ -78,17 +79,28 @@ def extract(s: Settings, force: bool = False) -> dict:
         return _done(s, "extract", snapshot, data)
 
 
+def _source(spark: SparkSession, s: Settings, raw: dict, name: str) -> str:
+    """Where executors read a member of the package: on the tables' store, put there and checked if it is not this machine's."""
+    member = raw["files"][name]
+    local = Path(member["path"])
+    if s.store.startswith("file:"):
+        return f"file://{local.resolve()}"
+    uri = f"{s.store}/raw/snapshot_date={raw['snapshot']}/csv/{name}"
+    files.upload(spark, local, uri, member.get("sha256"))
+    return uri
+
+
 def transform(spark: SparkSession, s: Settings, snapshot: str | None = None) -> dict:
     """Source files to staged tables, one snapshot replaced."""
     raw = files.read_json(s.manifest("extract", snapshot or "latest"))
     snapshot = raw["snapshot"]
     out = {}
-    with files.lock(s.data / "locks", snapshot):
+    with lease(spark, s.store, snapshot) as held:
         for name, table in staging.TABLES.items():
-            source = read_csv(spark, "file://" + str(Path(raw["files"][table.file]["path"]).resolve()), table.headers)
+            source = read_csv(spark, _source(spark, s, raw, table.file), table.headers)
             read = Observation()  # rows in are counted by the pass that writes
             source = source.observe(read, F.count(F.lit(1)).alias("n"))
-            wrote = replace_snapshot(staging.stage(name, source, snapshot), f"{s.store}/staging/{name}", snapshot, table.partitions)
+            wrote = replace_snapshot(staging.stage(name, source, snapshot), f"{s.store}/staging/{name}", snapshot, table.partitions, held.check)
             out[name] = {"lidas": read.get["n"], **wrote, "duplicatas": read.get["n"] - wrote["linhas"]}
     return _done(s, "staging", snapshot, {"tabelas": out, "totals": raw.get("totals", {})})
 
@@ -107,11 +119,11 @@ def validate(spark: SparkSession, s: Settings, snapshot: str | None = None) -> d
 def run_curate(spark: SparkSession, s: Settings, snapshot: str | None = None) -> dict:
     snapshot = files.read_json(s.manifest("staging", snapshot or "latest"))["snapshot"]
     base, out = f"{s.store}/curated", {}
-    with files.lock(s.data / "locks", snapshot):
-        out["obras_analitico"] = replace_snapshot(curate.analytic(_tables(spark, s, snapshot)), f"{base}/obras_analitico", snapshot, ("uf",))
+    with lease(spark, s.store, snapshot) as held:
+        out["obras_analitico"] = replace_snapshot(curate.analytic(_tables(spark, s, snapshot)), f"{base}/obras_analitico", snapshot, ("uf",), held.check)
         works = read_snapshot(spark, f"{base}/obras_analitico", snapshot)
         for name in curate.MARTS:
-            out[name] = replace_snapshot(curate.mart(name, works), f"{base}/{name}", snapshot)
+            out[name] = replace_snapshot(curate.mart(name, works), f"{base}/{name}", snapshot, guard=held.check)
         geo = curate.coverage(works)
     return _done(s, "curate", snapshot, {"tabelas": out, "geo": geo})
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from dataclasses import dataclass, field
 
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 
 from .. import domains as D
 from ..functions.columns import all_of, per
-from ..operators.relational import join_reference, rows_of, share, small
+from ..operators.quantiles import quantiles, with_quantiles
+from ..operators.relational import join_reference, rows_of, small, with_shares
 from ..sources.reference import read_corrections, read_places
-from ..sources.tables import read_snapshot
+from ..sources.tables import age, current, read_snapshot, replace_snapshot
 
 _F, _c = F, F.col
 
@@ -47,34 +50,61 @@ class Questions:
     corrections: DataFrame | None = None
     population: str = "populacao"
     keep_seconds: float = 3600
+    answers: str | None = None
+    state: list = field(default_factory=list)
     _cache: dict = field(default_factory=dict, repr=False)
 
     @classmethod
-    def open(cls, spark: SparkSession, curated: str, places: DataFrame | None = None, corrections: DataFrame | None = None, population: str = "populacao") -> Questions:
-        """Pins all four tables to the newest snapshot and registers them as views."""
+    def open(cls, spark: SparkSession, curated: str, places: DataFrame | None = None, corrections: DataFrame | None = None, population: str = "populacao", answers: str | None = None) -> Questions:
+        """Pins all four tables to the newest snapshot and registers them as views; ``answers``, a folder on a store, keeps answers for all sessions."""
         names = {"obras": "obras_analitico", "municipio_ano": "mart_municipio_ano", "setor_ano": "mart_setor_ano", "destinacao_ano": "mart_destinacao_ano"}
         tables = {k: read_snapshot(spark, f"{curated}/{v}") for k, v in names.items()}
         for k, v in tables.items():
             v.createOrReplaceTempView(k)
-        return cls(**tables, places=places, corrections=corrections, population=population)
+        state = [current(spark, f"{curated}/{v}") for v in names.values()] if answers else []
+        return cls(**tables, places=places, corrections=corrections, population=population, answers=answers, state=state)
 
     def ask(self, question: str, **filters):
-        """The answer, its rows kept by question and filters for ``keep_seconds``."""
+        """The answer, kept by question and filters for ``keep_seconds``: in the session, and with ``answers`` as a table that any session reads."""
         key, now = (question, *sorted(filters.items())), time.monotonic()
         for stale in [k for k, (until, _) in self._cache.items() if until <= now]:
             _, old = self._cache.pop(stale)
             if isinstance(old, DataFrame):
                 old.unpersist()
         if key not in self._cache:
-            answer = getattr(self, question)(**filters)
-            self._cache[key] = now + self.keep_seconds, answer.cache() if isinstance(answer, DataFrame) else answer
+            until, answer = self._kept(question, filters) if self.answers else (self.keep_seconds, getattr(self, question)(**filters))
+            self._cache[key] = now + until, answer.cache() if isinstance(answer, DataFrame) else answer
         return self._cache[key][1]
 
+    def _kept(self, question: str, filters: dict) -> tuple[float, object]:
+        """``(seconds left, answer)`` from the table kept for the question, its filters, the versions of the curated tables and the
+        reference tables; asked and written, in its order, if there is none or it is too old."""
+        spark = self.obras.sparkSession
+        what = json.dumps([question, sorted(filters.items()), self.state, self._reference_state()], default=str, ensure_ascii=False)
+        folder, name = f"{self.answers}/{question}", hashlib.sha256(what.encode()).hexdigest()[:32]
+        old = age(spark, folder, name)
+        if old is None or old >= self.keep_seconds:
+            answer = getattr(self, question)(**filters)
+            rows = answer if isinstance(answer, DataFrame) else spark.createDataFrame([(answer,)], "__answer " + ("long" if isinstance(answer, int) else "string"))
+            replace_snapshot(rows.withColumn("__n", F.monotonically_increasing_id()), folder, name)
+            old = 0.0
+        rows = read_snapshot(spark, folder, name).drop("snapshot_date").orderBy("__n").drop("__n")
+        return self.keep_seconds - old, rows.first()[0] if rows.columns == ["__answer"] else rows
+
+    def _reference_state(self) -> list:
+        """Number and hash of the rows of the reference tables: other rows, other answers."""
+        if not self._cache.get("__reference"):
+            found = []
+            for df in (self.places, self.corrections):
+                found.append(None if df is None else [str(x) for x in df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))).first()])
+            self._cache["__reference"] = float("inf"), [self.population, *found]
+        return self._cache["__reference"][1]
+
     @classmethod
-    def open_with(cls, spark: SparkSession, curated: str, places: str, corrections: str) -> Questions:
+    def open_with(cls, spark: SparkSession, curated: str, places: str, corrections: str, answers: str | None = None) -> Questions:
         """As :meth:`open`, with the reference tables read from CSV files."""
         table, population = read_places(spark, places)
-        return cls.open(spark, curated, table, read_corrections(spark, corrections), population)
+        return cls.open(spark, curated, table, read_corrections(spark, corrections), population, answers)
 
     @staticmethod
     def _where(df: DataFrame, uf: str | None = None, comparavel: bool = False, extra: Column | None = None) -> DataFrame:
@@ -108,7 +138,7 @@ class Questions:
     # profile
     def perfil_unidades(self, uf: str | None = None) -> DataFrame:
         by = self._where(self.obras, uf).groupBy(_c("unidade_medida").alias("unidade")).agg(F.count("*").alias("obras"), F.round(F.sum("area_declarada").cast("double") / 1e6, 1).alias("soma_milhoes"))
-        return _top(by.withColumn("pct_obras", share(_c("obras"), 2)))
+        return _top(with_shares(by, {"pct_obras": ("obras", 2)}))
 
     def decomposicao_area(self, uf: str | None = None) -> DataFrame:
         def km2(c: Column, name: str) -> Column:
@@ -124,10 +154,10 @@ class Questions:
             "cno", "uf", _c("nome_municipio").alias("municipio"), _c("unidade_medida").alias("unidade"), "area_declarada", _c("destinacao_obra").alias("destinacao"))
 
     def quantis_area(self, uf: str | None = None) -> DataFrame:
-        a = _c("area_m2").cast("double")
-        return self._where(self.obras, uf).agg(
-            F.count("area_m2").alias("obras_com_area"), F.round(F.avg(a), 1).alias("media"), F.percentile(a, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.95, 0.99)))).alias("q")).select(
-            "obras_com_area", "media", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("p25", "mediana", "p75", "p95", "p99"))])
+        works = self._where(self.obras, uf)
+        one = works.agg(F.count("area_m2").alias("obras_com_area"), F.round(F.avg(_c("area_m2").cast("double")), 1).alias("media"))
+        wanted = {n: (_c("area_m2"), q) for n, q in {"p25": 0.25, "mediana": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}.items()}
+        return one.join(F.broadcast(quantiles(works, [], wanted)))  # one row each
 
     def histograma_area(self, uf: str | None = None) -> DataFrame:
         step = F.least(F.floor(_c("area_m2").cast("double") / D.HISTOGRAM_STEP) * D.HISTOGRAM_STEP, F.lit(D.HISTOGRAM_TOP)).cast("double")
@@ -156,8 +186,10 @@ class Questions:
     # geocoding
     def perfil_geo(self, uf: str | None = None) -> DataFrame:
         d = "geo_distancia_municipio_km"
-        return _top(self._where(self.obras, uf).groupBy(F.coalesce("geo_origem", F.lit("sem código utilizável")).alias("origem")).agg(
-            F.count("*").alias("pontos"), F.count_if("geo_plausivel").alias("plausiveis"), F.round(F.median(d), 2).alias("dist_mediana_km"), F.round(F.max(d), 0).alias("dist_maxima_km")), "pontos")
+        works = self._where(self.obras, uf).withColumn("origem", F.coalesce("geo_origem", F.lit("sem código utilizável")))
+        by = works.groupBy("origem").agg(F.count("*").alias("pontos"), F.count_if("geo_plausivel").alias("plausiveis"), F.round(F.max(d), 0).alias("dist_maxima_km"))
+        by = with_quantiles(by, works, ["origem"], {"dist_mediana_km": (_c(d), 0.5)})
+        return _top(by.select("origem", "pontos", "plausiveis", F.round("dist_mediana_km", 2).alias("dist_mediana_km"), "dist_maxima_km"), "pontos")
 
     def funil_geocodificacao(self, uf: str | None = None) -> DataFrame:
         rows = rows_of(self._where(self.obras, uf).agg(
@@ -226,11 +258,12 @@ class Questions:
     def divisoes_cnae(self, uf: str | None = None) -> DataFrame:
         by = self._where(self.setor_ano, uf, extra=_c("cnae_divisao").isNotNull()).groupBy(_c("cnae_divisao").alias("divisao")).agg(
             F.max("cnae_divisao_nome").alias("nome"), F.sum("n_obras").alias("obras"), _km2())
-        return _top(by.withColumns({"pct_obras": share(_c("obras"), 1), "pct_area": share(_c("area_km2"), 1)}))
+        return _top(with_shares(by, {"pct_obras": ("obras", 1), "pct_area": ("area_km2", 1)}))
 
     def destinacoes(self, uf: str | None = None) -> DataFrame:
-        return _top(self._where(self.obras, uf).groupBy(F.coalesce("destinacao_obra", F.lit("não informada")).alias("destinacao")).agg(
-            F.count("*").alias("obras"), _km2("area_m2"), F.median("area_m2").alias("area_mediana_m2")))
+        works = self._where(self.obras, uf).withColumn("destinacao", F.coalesce("destinacao_obra", F.lit("não informada")))
+        by = works.groupBy("destinacao").agg(F.count("*").alias("obras"), _km2("area_m2"))
+        return _top(with_quantiles(by, works, ["destinacao"], {"area_mediana_m2": (_c("area_m2"), 0.5)}))
 
     def regioes(self, uf: str) -> DataFrame:
         by = self._where(self.municipio_ano, uf).groupBy("uf", "nome_municipio").agg(F.sum("n_obras").alias("obras"), F.sum("area_m2_total").alias("area_m2"))

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import domains as D
-from ..operators.relational import melt, top
+from ..operators.relational import melt, shared_folder, top
 from ..sources.reference import redundant
-from ..sources.tables import read_snapshot, replace_snapshot, snapshots
+from ..sources.tables import SourceError, read_snapshot, replace_snapshot, snapshots, store
 from . import curate, rules, staging
 from .catalogue import query
 from .questions import Questions
@@ -168,7 +168,7 @@ def staged(t) -> dict[str, DataFrame]:
 
 
 def analytic(t) -> DataFrame:
-    return curate.analytic(staged(t))
+    return curate.analytic(kept(t))
 
 
 def reference(t) -> tuple[DataFrame, DataFrame]:
@@ -179,19 +179,34 @@ def reference(t) -> tuple[DataFrame, DataFrame]:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A folder of its own in the shared one that the session names; in a temporary one if it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(named or 'file://' + tempfile.mkdtemp(prefix='lodestone-')).rstrip('/')}/sample-{uuid.uuid4().hex}"
+    """A folder of its own in the shared one that the session names; a temporary one on a local master that names none."""
+    named = shared_folder(spark)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise SourceError("spark.checkpoint.dir must name a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+    return f"{named.rstrip('/')}/sample-{uuid.uuid4().hex}"
 
 
 _folders: dict[tuple[str, ...], str] = {}
 
 
+def _states(t) -> list[str]:
+    """Names, lengths and times of the files that the sample is laid over: new data under old names is another input."""
+    out = []
+    for table in ("orders", "lineitem", "nation"):
+        for name in t(table).inputFiles():
+            fs, path = store(t(table).sparkSession, name)
+            status = fs.getFileStatus(path)
+            out.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return out
+
+
 def _once(t, kind: str, write: Callable[[SparkSession, str], None]) -> tuple[SparkSession, str]:
     """The folder that ``write`` fills, filled once a session and input; again if the shared folder was cleared."""
     source: DataFrame = t("orders")
     spark = source.sparkSession
-    key = (kind, spark.sparkContext.applicationId, *sorted(source.inputFiles()))
+    key = (kind, spark.sparkContext.applicationId, *sorted(_states(t)))
     folder = _folders.get(key)
     if folder is None or not snapshots(spark, f"{folder}/whole"):
         folder = _scratch(spark)
@@ -201,6 +216,16 @@ def _once(t, kind: str, write: Callable[[SparkSession, str], None]) -> tuple[Spa
     return spark, folder
 
 
+def kept(t) -> dict[str, DataFrame]:
+    """The staged tables, written and read as curation reads them."""
+    def write(spark: SparkSession, folder: str) -> None:
+        for name, table in staged(t).items():
+            replace_snapshot(table, f"{folder}/{name}", SNAPSHOT, staging.TABLES[name].partitions)
+
+    spark, folder = _once(t, "staged", write)
+    return {n: read_snapshot(spark, f"{folder}/{n}", SNAPSHOT) for n in staging.TABLES}
+
+
 def published(t) -> tuple[SparkSession, str]:
     """The curated tables of the sample registry, written as curation writes them."""
     def write(spark: SparkSession, folder: str) -> None:
@@ -255,7 +280,7 @@ _FAULTY = STAGED + """, f_obras as (
 
 
 def _with_faults(t) -> dict[str, DataFrame]:
-    tables = staged(t)
+    tables = kept(t)
     found = tables["obras"].join(t("orders").selectExpr("o_orderkey as k", "cast(o_orderkey - o_orderkey % 3 as string) as cno", RAW["obras"][1]["Data de registro"][1] + " as day").selectExpr(
         "k", "cno as __c", "try_cast(nullif(day, '') as date) as __d"), (F.coalesce("cno", F.lit("501")) == _c("__c")) & _c("data_registro").eqNullSafe(_c("__d")) & (_c("cno").isNull() == (_c("k") == 501)), "left")
     bad = found.withColumns({
@@ -312,7 +337,7 @@ for _i, (_n, _s) in enumerate(_RULES.items()):
 def regras_avaliadas(t):
     """Every rule through the evaluation that reports use."""
     tables = faulty(t)
-    rows = [(n, rules.evaluate(r, tables).violations) for n, r in zip(_RULES, rules.rules(TODAY), strict=True)]
+    rows = [(n, o.violations) for n, o in zip(_RULES, rules.evaluate_all(rules.rules(TODAY), tables), strict=True)]
     return tables["obras"].sparkSession.createDataFrame(rows, "regra string, violacoes long")
 
 

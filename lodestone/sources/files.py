@@ -18,8 +18,11 @@ from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from pathlib import Path
 
-from .tables import SourceError
+from pyspark.sql import SparkSession
 
+from .tables import SourceError, store
+
+# Member names and labels of the publisher's package.
 #: Members that a package must hold.
 MEMBERS = ("cno.csv", "cno_areas.csv", "cno_cnaes.csv", "cno_vinculos.csv", "cno_totais.csv")
 #: Labels of the totals file, without accents or case, and the tables' keys.
@@ -94,6 +97,39 @@ def sha256(path: Path) -> str:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
+def upload(spark: SparkSession, local: Path, uri: str, digest: str | None = None) -> str:
+    """Put a local file on a store under ``uri``, whole or not at all; returns its SHA-256 as read back from the store.
+
+    A file that is there with the same digest stays.
+    """
+    digest = digest or sha256(local)
+    fs, target = store(spark, uri)
+    if fs.exists(target) and remote_sha256(spark, uri) == digest:
+        return digest
+    _, part = store(spark, f"{uri}.part-{digest[:16]}")
+    fs.copyFromLocalFile(False, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{local.resolve()}"), part)
+    if (got := remote_sha256(spark, part.toString())) != digest:
+        fs.delete(part, False)
+        raise SourceError(f"{uri}: the store holds {got}, not {digest}")
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise SourceError(f"{uri} could not be put in place")
+    return digest
+
+
+def remote_sha256(spark: SparkSession, uri: str) -> str:
+    """SHA-256 of a file on a store, read by the driver's JVM."""
+    fs, path = store(spark, uri)
+    jvm = spark.sparkContext._jvm
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    stream = jvm.java.security.DigestInputStream(fs.open(path), digest)
+    try:
+        stream.transferTo(jvm.java.io.OutputStream.nullOutputStream())
+    finally:
+        stream.close()
+    return bytes(digest.digest()).hex()
+
+
 def unpack(package: Path, target: Path, members: tuple[str, ...] = MEMBERS) -> dict[str, Path]:
     """Unpack after a CRC test; refuses paths that lead outside and packages without a required member."""
     try:

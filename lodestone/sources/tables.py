@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import date
 
 import numpy as np
@@ -278,8 +278,26 @@ def read_snapshot(spark: SparkSession, table_dir: str, snapshot: str | None = No
     return spark.read.parquet(f"{folder}/v-{version}").withColumn("snapshot_date", day)
 
 
-def replace_snapshot(df: DataFrame, table_dir: str, snapshot: str, partitions: tuple[str, ...] = ()) -> dict:
+def current(spark: SparkSession, table_dir: str, snapshot: str | None = None) -> tuple[str, str] | None:
+    """``(snapshot, version)`` that a reader would get, the newest snapshot by default; None if there is none."""
+    have = [snapshot] if snapshot else snapshots(spark, table_dir)[-1:]
+    commits = _commits(spark, f"{table_dir}/snapshot_date={have[0]}") if have else []
+    return (have[0], commits[-1][1]) if commits else None
+
+
+def age(spark: SparkSession, table_dir: str, snapshot: str) -> float | None:
+    """Seconds since the version that holds was put in place; None if there is none."""
+    folder = f"{table_dir}/snapshot_date={snapshot}"
+    commits = _commits(spark, folder)
+    if not commits:
+        return None
+    fs, marker = store(spark, f"{folder}/commit-{commits[-1][0]:012d}-{commits[-1][1]}")
+    return time.time() - fs.getFileStatus(marker).getModificationTime() / 1000
+
+
+def replace_snapshot(df: DataFrame, table_dir: str, snapshot: str, partitions: tuple[str, ...] = (), guard: Callable[[], None] | None = None) -> dict:
     """Write ``df`` as the whole of one snapshot; others stay.  Returns rows, files, bytes and seconds.
+    ``guard``, called before the marker is made, raises if the writer has lost its right to replace.
 
     The new version is written beside the old one; creating its marker switches readers over, in one step on any
     store.  A writer that dies before leaves the old version as it was, one that dies after leaves files that no
@@ -299,6 +317,8 @@ def replace_snapshot(df: DataFrame, table_dir: str, snapshot: str, partitions: t
     if not files:
         fs.delete(fresh, True)
         raise SourceError(f"{folder}: nothing was written")
+    if guard:
+        guard()
     _commit(spark, folder, version)
     _vacuum(spark, folder)
     return {"linhas": rows.get["n"], "arquivos": len(files), "bytes": sum(files), "segundos": round(time.monotonic() - began, 2)}

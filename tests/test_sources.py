@@ -1,8 +1,7 @@
-"""Reference tables, polygons, probes, kept answers, settings, command line."""
+"""Reference tables, probes, kept answers, settings, command line."""
 
-import gzip
 import json
-import math
+from datetime import UTC, datetime
 
 import pytest
 from registry import unpacked
@@ -10,7 +9,7 @@ from registry import unpacked
 from lodestone import cli
 from lodestone.functions import columns
 from lodestone.plans import pipeline, questions
-from lodestone.sources import mesh, reference, tables
+from lodestone.sources import files, reference, tables
 
 
 def test_reference_csv(spark, tmp_path):
@@ -26,26 +25,15 @@ def test_reference_csv(spark, tmp_path):
         reference.newest_population(["nome"])
 
 
-def test_polygons(tmp_path):
-    square = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
-    hole = [[1, 1], [1, 2], [2, 2], [2, 1], [1, 1]]
-    feature = {"type": "Feature", "properties": {"codarea": 4205407}, "geometry": {"type": "Polygon", "coordinates": [square, hole]}}
-    islands = {"type": "Feature", "properties": {"codarea": "3500000"}, "geometry": {"type": "MultiPolygon", "coordinates": [[square], [[[10, 10], [10, 11], [11, 11], [10, 10]]], [[]]]}}
-    with gzip.open(tmp_path / "m.json.gz", "wt") as f:
-        json.dump({"type": "FeatureCollection", "features": [feature, islands]}, f)
-    whole = mesh.load(tmp_path / "m.json.gz")
-    one = mesh.crop(whole, "42")
-    assert [f["properties"]["codarea"] for f in one["features"]] == [4205407]
-    outer, inner = one["features"][0]["geometry"]["coordinates"]
-    assert mesh.signed_area(outer) == -16 and mesh.signed_area(inner) == 1
-    assert mesh.bounds(whole) == (0, 0, 11, 11) and len(mesh.outlines(whole)) == 4
-    (lon, lat), scale = mesh.fit(one, 400, 400, 0)
-    assert lon == 2 and 1.99 < lat < 2.01 and scale == pytest.approx(400 / math.asinh(math.tan(math.radians(4))))
-    assert mesh.centroid(feature) == (2, 2)
-    with pytest.raises(ValueError):
-        mesh.bounds({"features": []})
+def test_days_left(tmp_path):
+    (tmp_path / "meta.json").write_text('{"valido_ate": "2026-03-01"}')
+    at = lambda d: datetime(2026, 2, d, 12, tzinfo=UTC)
+    assert [files.days_left(tmp_path / "meta.json", at(d)) for d in (1, 28)] == [27, 0] and files.days_left(tmp_path / "meta.json", datetime(2026, 3, 2, tzinfo=UTC)) == -1
+    (tmp_path / "none.json").write_text("{}")
+    with pytest.raises(KeyError):
+        files.days_left(tmp_path / "none.json")
     with pytest.raises(tables.SourceError):
-        mesh.load(tmp_path / "none")
+        files.days_left(tmp_path / "missing.json")
 
 
 def test_probes(spark, tmp_path):
