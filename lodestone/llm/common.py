@@ -1,8 +1,8 @@
 """Plumbing shared by the corpus operators: scratch tables, file systems, null-safe joins.
 
 Scratch tables live under ``spark.checkpoint.dir``, which every executor and the driver can reach, so a
-lost executor never takes an intermediate result with it.  Only where the setting is absent (unit tests on
-one machine) does this module choose a folder of its own.
+lost executor never takes an intermediate result with it.  Only where the setting is absent on a local master (unit
+tests on one machine) does this module choose a folder of its own.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ _own_root: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by the session; a temporary one of our own only if none is named."""
+    """Shared folder named by the session; on a local master that names none a temporary one of our own, elsewhere an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors and the driver share")
     app = sc.applicationId
     if app not in _own_root:
         _own_root[app] = "file://" + tempfile.mkdtemp(prefix="lodestone-")
@@ -75,6 +77,19 @@ def drop_scratch(df: DataFrame) -> None:
     delete(df.sparkSession, df.scratch_path)
 
 
+def drop_scratch_since(mark: int, *keep: DataFrame) -> None:
+    """Free the scratch tables that came after :func:`scratch_mark`, but for those of ``keep``, once nothing reads them."""
+    stay = {df.scratch_path for df in keep}
+    for entry in _written[mark:]:
+        if entry[1] not in stay:
+            delete(*entry)
+            _written.remove(entry)
+
+
+def scratch_mark() -> int:
+    return len(_written)
+
+
 def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which nulls match nulls; the keys appear once, from the left."""
     renamed = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}" if c in keys else c) for c in right.columns])

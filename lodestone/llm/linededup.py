@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_key, drop_scratch, materialise, words_of
+from .common import doc_key, drop_scratch, drop_scratch_since, materialise, scratch_mark, words_of
 
 MIN_WORDS = 50
 #: A place of the corpus: document, then its text, then the line's number among the non-blank ones.
@@ -217,7 +217,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = True) -> DataFrame:
     """``docs`` without their repeated runs of lines; a document that loses its last word goes too."""
+    mark = scratch_mark()
     gone = materialise(repeats(docs, min_words), "gone")
+    drop_scratch_since(mark, gone)
     small = (gone.agg(F.sum(F.size("gone") + 8)).first()[0] or 0) <= BROADCAST_GONE
     keyed = docs.select(F.struct("*").alias("__row"), *_doc()).join(F.broadcast(gone) if small else gone, ["doc", "text"], "left")
     lines = F.split("__row.text", "\n", -1)

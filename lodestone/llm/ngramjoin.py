@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, materialise, small_side
+from .common import drop_scratch, drop_scratch_since, materialise, scratch_mark, small_side
 from .shingles import mix, shingle_sets
 
 GROUPS = 64
@@ -496,6 +496,7 @@ def join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of each of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text")
+    mark = scratch_mark()
     points = materialise(texts.mapInArrow(_points(ID_BITS), POINTS), "points")
     parts = points.filter("n = -1").select("cid", "counts").repartition(_PARTS, "cid").mapInArrow(_sum_slots, "cid long, counts binary").collect()
     slots = np.zeros(SLOTS, np.int64)
@@ -535,6 +536,7 @@ def join(docs: DataFrame) -> DataFrame:
         linked = materialise(sets.mapInArrow(_verify, LINKS), "links")
     finally:
         spark.conf.set(rows_key, usual)
+    drop_scratch_since(mark, points, classes, linked)
 
     ids = rows.join(classes.select("cid", "check", "n", "rep", "docs"), ["cid", "check", "n"], "left")
     several = ids.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps")).filter("a < b")

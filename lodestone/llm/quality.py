@@ -63,7 +63,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.drop("__words", "__lines", "__h", "__h4", "__w", "__n")
     out = out.withColumn("__p", F.expr("sort_array(transform(filter(__d, (x, i) -> get(__d, i - 1).h = x.h or get(__d, i + 1).h = x.h), x -> x.i))"))
     covered = F.expr(f"coalesce(aggregate(__p, struct(0L as n, -{WINDOW} as last), (a, p) -> struct(a.n + least({WINDOW}, p - a.last) as n, p as last), a -> a.n), 0L)")
-    own = [F.col("__row")[c].alias(c) for c in docs.columns if c != "quality"]
+    # names are compared as Spark compares them, without regard to case
+    own = [F.col("__row")[c].alias(c) for c in docs.columns if c.lower() != "quality"]
     # the counter keeps the optimiser from pushing filters, and with them every measure, below the projections,
     # where arrays would be built for each element of others
     fixed = F.when(F.monotonically_increasing_id() >= 0, F.struct("__q.*", covered.alias("n_repeat_words")))

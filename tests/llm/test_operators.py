@@ -196,6 +196,10 @@ def test_quality(spark, docs, texts):
         assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == want
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r.base_failed and r.kept)
     assert not {r.doc_id: r.kept for r in quality.judge(all_docs).collect()}[901]
+    other = docs.select("doc_id", "text", F.lit(1).alias("Quality"), F.lit(2).alias("KEPT"))
+    assert sorted(c.lower() for c in quality.judge(other).columns) == ["base_failed", "doc_id", "kept", "quality", "text"]
+    assert {r.doc_id: r.kept for r in quality.judge(other).collect()} == {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+    assert quality.keep_good(other).columns == other.columns
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and kept.count() == quality.judge(docs.select("doc_id", "text")).filter("kept").count()
 
