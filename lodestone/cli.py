@@ -25,9 +25,13 @@ def main(argv: list[str] | None = None) -> int:
         elif args.stage == "info":
             out = {s: files.read_json(p) for s in ("extract", "staging", "validate", "curate") if (p := settings.manifest(s, args.snapshot or "latest")).exists()}
         else:
+            from pyspark import SparkConf
             from pyspark.sql import SparkSession
 
-            spark = SparkSession.builder.appName("lodestone").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+            builder = SparkSession.builder.appName("lodestone").config("spark.sql.session.timeZone", "UTC")
+            if not SparkConf().contains("spark.checkpoint.dir"):  # beside the tables, where every executor reads
+                builder = builder.config("spark.checkpoint.dir", f"{settings.store}/scratch")
+            spark = builder.getOrCreate()
             out = {"transform": pipeline.transform, "validate": pipeline.validate, "curate": pipeline.run_curate}[args.stage](spark, settings, args.snapshot)
     except KeyboardInterrupt:
         return 130

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import name_key
 
-#: Rows up to which a dimension is broadcast.
+#: Rows, and bytes in them, up to which a dimension is broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 << 20
+
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows and ``size`` bytes; else as it is, for a shuffled join.
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    Text counts as its bytes, anything else as eight.
+    """
+    wide = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    width = reduce(Column.__add__, wide, F.lit(8 * (len(df.columns) - len(wide)))).cast("long")
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= rows and found["bytes"] <= size else df
 
 
 def shared_folder(spark: SparkSession) -> str | None:

@@ -6,6 +6,7 @@ import hashlib
 import json
 import time
 from dataclasses import dataclass, field
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +34,10 @@ def decode_lines(lines: list[bytes], encoding: str) -> list[str]:
     return [x.decode(encoding, errors="replace") for x in lines]
 
 
-def sample_lines(path: str) -> list[bytes]:
+def sample_lines(path: str, most: int = 1000) -> list[bytes]:
+    """The first ``most`` lines of a file, as bytes: a sample to look at, whatever the file's length."""
     with open(path, "rb") as f:
-        return f.read().splitlines()
+        return [line.rstrip(b"\r\n") for line in islice(f, most)]
 
 
 @dataclass

@@ -244,8 +244,20 @@ def works(t) -> DataFrame:
 
 
 def questions(t, referenced: bool = True) -> Questions:
-    """The questions on the published tables, opened as any user of the engine opens them."""
-    return Questions.open(*published(t), *(reference(t) if referenced else ()))
+    """The questions on the published tables, opened as any user of the engine opens them: reference tables from their CSV files."""
+    spark, folder = published(t)
+    if not referenced:
+        return Questions.open(spark, folder)
+    _, files = _once(t, "reference", lambda spark, folder: _write_reference(t, folder))
+    return Questions.open_with(spark, folder, f"{files}/places", f"{files}/corrections")
+
+
+def _write_reference(t, folder: str) -> None:
+    """The reference tables as users keep them: CSV with a header, populations by year."""
+    places, fixes = reference(t)
+    places = places.withColumns({"populacao_2024": _c("populacao") - 1, "populacao_2026": _c("populacao")}).drop("populacao")
+    places.write.csv(f"{folder}/places", header=True)
+    fixes.withColumns({"nome_ibge": F.lit(""), "motivo": F.lit("nome curto, de uso")}).write.csv(f"{folder}/corrections", header=True)
 
 
 def doubles(df: DataFrame) -> DataFrame:

@@ -23,6 +23,11 @@ def _ask(name: str, sql: str, answer: Callable[[Questions], DataFrame], referenc
     register(name, sql, lambda t: doubles(answer(questions(t, referenced))))
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """``df``, whose rows come in an order, with their places in it as ``lugar``."""
+    return df.withColumn("__i", F.monotonically_increasing_id()).selectExpr(*[f"`{c}`" for c in df.columns], "cast(row_number() over (order by __i) as bigint) as lugar")
+
+
 def _one(t, value, column: str, kind: str) -> DataFrame:
     return t("orders").sparkSession.createDataFrame([(value,)], f"{column} {kind}")
 
@@ -44,7 +49,7 @@ _ask("q_quantis_area", MARTS + """select count(a) as obras_com_area, round(avg(a
 _ask("q_histograma_area", MARTS + "select least(floor(area_m2::double / 20) * 20, 1000)::double as faixa_inicio, count(*) as obras from analitico where area_m2 > 0 group by 1", lambda q: q.histograma_area())
 _ask("q_faixas_area", MARTS + f"""select faixa_area, sum(n_obras)::bigint as obras, {_KM2.format('area_m2_total')}, list_position(['até 70 m²', '70 a 150 m²', '150 a 500 m²', '500 a 5.000 m²', 'acima de 5.000 m²'], faixa_area)::bigint as lugar
   from destinacao_ano where faixa_area is not null group by 1""",
-     lambda q: q.faixas_area().withColumn("__i", F.monotonically_increasing_id()).selectExpr("faixa_area", "obras", "area_km2", "row_number() over (order by __i) as lugar").withColumn("lugar", _c("lugar").cast("long")))
+     lambda q: _placed(q.faixas_area()))
 _ask("q_cardinalidade", MARTS + _unpivot(
     """select count(*) filter (where n_areas > 1) as "obras com mais de uma área", count(*) filter (where n_areas = 0) as "obras sem nenhuma área", count(*) filter (where n_cnaes > 1) as "obras com mais de um CNAE",
     count(*) filter (where n_vinculos > 0) as "obras com algum vínculo", max(n_areas)::bigint as "maior número de áreas numa obra" from analitico""", "situacao", "obras"), lambda q: q.cardinalidade())
@@ -58,19 +63,19 @@ _ask("q_perfil_geo", MARTS + """select coalesce(geo_origem, 'sem código utiliz
 _ask("q_funil_geocodificacao", MARTS + """select etapa, obras, round(100.0::double * obras / (select sum(n_obras) from municipio_ano), 1) as pct_da_base from (""" + _unpivot(
     """select count(*) filter (where codigo_localizacao like '%+%') as "contém um '+'", count(*) filter (where geocodificada) as "decodifica de fato",
     count(*) filter (where geo_plausivel) as "cai no município certo" from analitico""", "etapa", "obras") + ")", lambda q: q.funil_geocodificacao())
-_ask("q_distancia_geo", MARTS + """select case when d <= 150 then 'até 150 km (plausível)' when d <= 500 then '150 a 500 km' when d <= 5000 then '500 a 5.000 km' else 'mais de 5.000 km' end as faixa, count(*) as pontos
-  from (select geo_distancia_municipio_km as d from analitico where geocodificada) group by 1""", lambda q: q.distancia_geo())
+_ask("q_distancia_geo", MARTS + """select case when d <= 150 then 'até 150 km (plausível)' when d <= 500 then '150 a 500 km' when d <= 5000 then '500 a 5.000 km' else 'mais de 5.000 km' end as faixa, count(*) as pontos, row_number() over (order by min(d) nulls last) as lugar
+  from (select geo_distancia_municipio_km as d from analitico where geocodificada) group by 1""", lambda q: _placed(q.distancia_geo()))
 _ask("q_pontos_fora", MARTS + """select cno, uf, nome_municipio as municipio, codigo_localizacao as plus_code, round(latitude * 10)::bigint as lat, round(longitude * 10)::bigint as lon, round(geo_distancia_municipio_km, 0)::bigint as km
   from analitico where geocodificada order by floor(geo_distancia_municipio_km * 1e6) desc nulls last, cno limit 10""",
      lambda q: q.pontos_fora().selectExpr("cno", "uf", "municipio", "plus_code", "cast(round(latitude * 10) as bigint) as lat", "cast(round(longitude * 10) as bigint) as lon", "cast(distancia_km as bigint) as km"))
 _ask("q_mapa_municipios", MARTS + f"""select uf, nome_municipio as municipio, sum(n_obras)::bigint as obras, sum(n_geocodificadas)::bigint as geocodificadas, {_KM2.format('area_m2_total')},
   round((median(lat_mediana) + 90) * 32000)::bigint as lat, round((median(lon_mediana) + 180) * 32000)::bigint as lon from municipio_ano where lat_mediana is not null group by 1, 2 having sum(n_geocodificadas) > 0""",
      lambda q: q.mapa_municipios().selectExpr("uf", "municipio", "obras", "geocodificadas", "area_km2", "cast(round((latitude + 90) * 32000) as bigint) as lat", "cast(round((longitude + 180) * 32000) as bigint) as lon"))
-_ask("q_obras_por_ano", MARTS + f"""select ano_inicio as ano, sum(n_obras)::bigint as obras, {_KM2.format('area_m2_total')}, sum(n_ativas)::bigint as ativas from municipio_ano where ano_inicio between 2012 and 2022 and uf = 'SC' group by 1""",
-     lambda q: q.obras_por_ano("SC", 2012, 2022))
-_ask("q_entrada_no_cadastro", CURATED + "select year(data_registro) as ano_registro, count(*) as obras, min(data_registro) as primeiro_registro from analitico where data_registro is not null group by 1", lambda q: q.entrada_no_cadastro())
-_ask("q_registro_de_obras_antigas", CURATED + """select year(data_registro) as ano_registro, count(*) as obras_iniciadas_antes_de_2019 from analitico where ano_inicio < 2019 and data_registro is not null group by 1""",
-     lambda q: q.registro_de_obras_antigas())
+_ask("q_obras_por_ano", MARTS + f"""select ano_inicio as ano, sum(n_obras)::bigint as obras, {_KM2.format('area_m2_total')}, sum(n_ativas)::bigint as ativas, row_number() over (order by ano_inicio nulls last) as lugar from municipio_ano where ano_inicio between 2012 and 2022 and uf = 'SC' group by 1""",
+     lambda q: _placed(q.obras_por_ano("SC", 2012, 2022)))
+_ask("q_entrada_no_cadastro", CURATED + "select year(data_registro) as ano_registro, count(*) as obras, min(data_registro) as primeiro_registro, row_number() over (order by year(data_registro)) as lugar from analitico where data_registro is not null group by 1", lambda q: _placed(q.entrada_no_cadastro()))
+_ask("q_registro_de_obras_antigas", CURATED + """select year(data_registro) as ano_registro, count(*) as obras_iniciadas_antes_de_2019, row_number() over (order by year(data_registro)) as lugar from analitico where ano_inicio < 2019 and data_registro is not null group by 1""",
+     lambda q: _placed(q.registro_de_obras_antigas()))
 _ask("q_atraso_de_registro", CURATED + _unpivot(
     """select count(*) filter (where d < 0) as "registrada antes de começar", count(*) filter (where d between 0 and 30) as "registrada em até 30 dias", count(*) filter (where d between 31 and 365) as "registrada em até um ano",
     count(*) filter (where d > 365) as "registrada mais de um ano depois" from (select datediff('day', data_inicio, data_registro) as d from analitico where data_inicio is not null and data_registro is not null)""",

@@ -4,10 +4,12 @@ import json
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from registry import unpacked
 
 from lodestone import cli
 from lodestone.functions import columns
+from lodestone.operators import relational
 from lodestone.plans import pipeline, questions
 from lodestone.sources import files, reference, tables
 
@@ -67,6 +69,19 @@ def test_sample_lines(tmp_path):
     assert questions.decode_lines(lines, "cp1252") == ["a–b", "c"] and questions.decode_lines(lines, "latin-1")[0] != "a–b"
 
 
+def test_a_sample_is_short_whatever_the_file(tmp_path):
+    (tmp_path / "x.csv").write_bytes(b"line\r\n" * 5000)
+    assert questions.sample_lines(tmp_path / "x.csv") == [b"line"] * 1000 and questions.sample_lines(tmp_path / "x.csv", 2) == [b"line"] * 2
+
+
+def test_broadcasts_are_bounded_in_rows_and_bytes(spark):
+    def sent(df, **bounds):
+        return "BroadcastHint" in relational.small(df, **bounds)._jdf.queryExecution().logical().toString() or "strategy=broadcast" in relational.small(df, **bounds)._jdf.queryExecution().logical().toString()
+
+    few, wide = spark.range(10), spark.range(10).select(F.repeat(F.lit("é"), 1000).alias("s"), "id")
+    assert sent(few) and not sent(few, rows=9) and sent(wide, size=10 * 2008) and not sent(wide, size=10 * 2008 - 1) and sent(few.limit(0))
+
+
 def test_formats():
     assert columns.format_number(1234567.891, 2) == "1.234.567,89" and columns.format_percent(41.25) == "41,2%"
     assert [columns.format_bytes(n) for n in (12, 2048, 5 << 20, 3 << 40)] == ["12 B", "2.0 KB", "5.0 MB", "3072.0 GB"]
