@@ -9,8 +9,8 @@ Two documents link when the Jaccard similarity of their sets of five-word shingl
 2. *Buckets.*  In the order (documents of the slot, hash) a set's first ``n - ceil(0.8 n) + 1`` shingles must
    hold one of any set it links with.  Classes that share such a shingle meet in a bucket.  Shingles of
    boilerplate come last in the order, so buckets are small unless texts are boilerplate throughout.
-   Buckets with the same members are looked at once; one of over ``BUCKET`` classes is dealt into parts, of which
-   each two meet in a task of their own.
+   Buckets with the same members are looked at once; one of many classes, or of classes with many counts, is dealt into
+   parts (``in_parts``), of which each two meet in a task of their own.
 3. *R-trees.*  A class is the point of its counts of shingles in hash groups (``GROUPS``, more for large sets, in
    which case boxes are on the coarser of two grids).  The sum of the
    coordinates' minima of two points bounds their overlap, the sum of the minima of two boxes' upper corners
@@ -66,7 +66,7 @@ BUCKET = 16_384
 #: Counts that one task's tree holds of a bucket, four bytes each.
 BUCKET_COUNTS = 1 << 24
 #: Classes of a part of a bucket at least, however few rows the tasks have.
-LEAST_PART = 512
+LEAST_PART = 256
 #: Bits of hash in ``cid``, above the 20 of the size; fewer only in tests.
 ID_BITS = 44
 
@@ -513,7 +513,7 @@ def join(docs: DataFrame) -> DataFrame:
     met = tokens.repartition(width, "token").sortWithinPartitions("token", "cid", "check").mapInArrow(_buckets, "bucket long, cid long, check long").distinct()
     met = materialise(met, "buckets")
     # where tasks have few rows, smaller parts keep a large bucket from standing out; pairs and results are the same
-    parts = in_parts(met, min(BUCKET, max(LEAST_PART, 2 * met.count() // width)))
+    parts = in_parts(met, min(BUCKET, max(LEAST_PART, met.count() // width)))
     vectors = parts.join(classes.select("cid", "check", "class", "n", "counts"), ["cid", "check"]).select("bucket", "i", "j", "class", "n", "counts")
     near = vectors.repartition(width, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "class").mapInArrow(_families, EDGES)
     families = components(near)
