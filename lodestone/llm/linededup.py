@@ -68,11 +68,12 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def _numbered(n: int):
     """Rows sorted by key and place in, whose first ``n`` columns are the key; each place once out, with partition, row, first row of the key, and whether it
-    is the last row of its key in the partition."""
+    is the last row of its key in the partition.  At the end three rows sum the partition up: row -1 has the first key and in
+    ``at`` the number of rows, row -2 the last key and its first row, row -3 the number of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held, before, row, start = None, None, 0, 0
+        held, before, head, row, start, distinct = None, None, None, 0, 0, 0
         for batch in chain(batches, [None]):
             table = held if batch is None else pa.Table.from_batches([*(held.to_batches() if held is not None else []), batch])
             if table is not None and table.num_rows > 1:  # a repeated row is one place; its copies lie beside it
@@ -89,36 +90,50 @@ def _numbered(n: int):
             rows = row + np.arange(take)
             at = np.maximum.accumulate(np.where(new[:take], rows, start))
             out = table.slice(0, take).combine_chunks().to_batches()[0]
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(take, part, np.int32)), pa.array(rows), pa.array(at), pa.array(new[1:take + 1])], [*out.schema.names, "part", "row", "at", "last"])
-            before, start, row, held = [k[take - 1] for k in keys], int(at[-1]), row + take, table.slice(take)
+            names = [*out.schema.names, "part", "row", "at", "last"]
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(take, part, np.int32)), pa.array(rows), pa.array(at), pa.array(new[1:take + 1])], names)
+            head = [k[0] for k in keys] if head is None else head
+            before, start, row, held, distinct = [k[take - 1] for k in keys], int(at[-1]), row + take, table.slice(take), distinct + int(new[:take].sum())
+        if row:
+            own = [pa.array([a, b, b], out.schema.field(c).type) for c, (a, b) in enumerate(zip(head, before, strict=True))]
+            rest = [pa.nulls(3, f.type) for f in list(out.schema)[n:]]
+            yield pa.RecordBatch.from_arrays([*own, *rest, pa.array([part] * 3, pa.int32()), pa.array([-1, -2, -3]), pa.array([row, start, distinct]), pa.nulls(3, pa.bool_())], names)
 
     return run
 
 
 def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """A written table of ``df`` with ``rank``: the rows of a lesser key; ``later``: the key stands at an earlier place;
-    ``alone``: no other place has the key.  Keys and places hold no null."""
+    ``alone``: no other place has the key.  Keys and places hold no null.  Its attribute ``repeated`` counts the places that
+    share a key with an earlier one.
+
+    The writing pass also sums up each partition, in three rows that the driver reads: no further pass over the table.
+    """
     rest = [c for c in df.columns if c not in keys]
     ordered = df.select(*keys, *rest).repartitionByRange(*keys, *PLACE).sortWithinPartitions(*keys, *PLACE)
     schema = ", ".join(f"{c} {t}" for c, t in ordered.dtypes) + ", part int, row long, at long, last boolean"
     held = materialise(ordered.mapInArrow(_numbered(len(keys)), schema), name)
-    key = F.struct(*keys)
-    parts = held.groupBy("part").agg(F.min(key).alias("head"), F.max(key).alias("tail"), F.count("*").alias("n"), F.max("at").alias("tail_at")).orderBy("part").collect()
-    bounds, offset, rank = [], 0, None
-    for i, p in enumerate(parts):
-        goes_on = i > 0 and p["head"] == parts[i - 1]["tail"]
+    sums: dict[int, dict] = {}
+    for r in held.filter("row < 0").select("part", "row", "at", F.struct(*keys).alias("key")).collect():
+        sums.setdefault(r["part"], {})[r["row"]] = r["at"], r["key"]
+    bounds, offset, rank, repeated, before = [], 0, None, 0, None
+    parts = sorted(sums)
+    for i, part in enumerate(parts):
+        (n, head), (tail_at, tail), (distinct, _) = (sums[part][k] for k in (-1, -2, -3))
+        goes_on = before is not None and head == before
         carried = rank if goes_on else None
-        bounds.append((p["part"], offset, carried, p["tail_at"], i + 1 < len(parts) and parts[i + 1]["head"] == p["tail"]))
-        rank = carried if goes_on and p["tail_at"] == 0 else offset + p["tail_at"]
-        offset += p["n"]
+        bounds.append((part, offset, carried, tail_at, i + 1 < len(parts) and sums[parts[i + 1]][-1][1] == tail))
+        rank = carried if goes_on and tail_at == 0 else offset + tail_at
+        repeated += n - distinct + goes_on
+        offset, before = offset + n, tail
     edges = df.sparkSession.createDataFrame(bounds, "part int, offset long, carried long, tail_at long, more boolean")
-    out = held.join(F.broadcast(edges), "part")
+    out = held.filter("row >= 0").join(F.broadcast(edges), "part")
     carried = (F.col("at") == 0) & F.col("carried").isNotNull()
     out = out.withColumns({
         "rank": F.when(carried, F.col("carried")).otherwise(F.col("offset") + F.col("at")), "later": carried | (F.col("row") > F.col("at")),
         "alone": F.col("last") & (F.col("row") == F.col("at")) & ~carried & ~(F.col("more") & (F.col("at") == F.col("tail_at")))})
     out = out.select(*df.columns, "rank", "later", "alone")
-    out.scratch_path = held.scratch_path
+    out.scratch_path, out.repeated = held.scratch_path, repeated
     return out
 
 
@@ -166,10 +181,9 @@ def doubled(first: DataFrame) -> list[DataFrame]:
         on = Window.partitionBy("doc", "text").orderBy("seq").rangeBetween(step, step)
         pairs = levels[-1].select(*PLACE, "need", "r", F.first("r").over(on).alias("r2")).filter("r2 is not null")
         sorted_ = ranked(pairs, ["r", "r2"], f"prefixes-{2 * step}")
-        table = sorted_.filter(~F.col("alone")).select(*PLACE, "need", F.col("rank").alias("r"), "later")
-        if table.isEmpty():
+        if not sorted_.repeated:
             return levels
-        levels.append(table)
+        levels.append(sorted_.filter(~F.col("alone")).select(*PLACE, "need", F.col("rank").alias("r"), "later"))
 
 
 def longest(levels: list[DataFrame]) -> DataFrame:
