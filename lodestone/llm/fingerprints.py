@@ -50,34 +50,40 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def _next(marked: np.ndarray) -> np.ndarray:
-    """For each place (and the one after the last), the first marked place from there on; the length if there is none."""
-    n = len(marked)
-    out = np.where(np.append(marked, True), np.arange(n + 1), n)
-    return np.minimum.accumulate(out[::-1])[::-1]
+def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the chunks of texts start that lie in ``data`` one after the other, text k up to ``bounds[k]``; the length
+    of all at the end.  No chunk ends inside a UTF-8 character.
 
-
-def chunk_starts(data: np.ndarray) -> np.ndarray:
-    """Where the chunks of ``data`` start, and its length at the end; no chunk ends inside a UTF-8 character.
-
-    A text is taken in pieces of about a block; a piece's last chunks, which later bytes could change, go to the next.
+    Data are taken in pieces of about a block; a piece's last chunks, which later bytes could change, go to the next.
+    Places that pass a mask are few; a chunk's end is looked up among them.
     """
     out, at = [0], 0
+    texts = iter(bounds.tolist())
+    end = next(texts)
     while at < len(data):
         piece = data[at:at + BLOCK]
-        last = at + len(piece) == len(data)
-        h, n = gear(piece), len(piece)
+        n = len(piece)
+        h = gear(piece)
         whole = np.ones(n, bool)  # a character ends here
         whole[:-1] = (piece[1:] & 0xC0) != 0x80
-        hard, easy, any_ = _next(whole & ((h & HARD) == 0)), _next(whole & ((h & EASY) == 0)), _next(whole)
-        start = np.arange(n)
-        first = hard[np.minimum(start + LEAST - 1, n)]
-        second = easy[np.minimum(start + NORMAL - 1, n)]
-        end = np.where(first < start + NORMAL - 1, first, np.where(second < start + MOST - 1, second, any_[np.minimum(start + MOST - 1, n)]))
-        after = np.minimum(end + 1, n).tolist()
-        here, stop = 0, n if last else n - 2 * MOST
+        easy = np.flatnonzero(whole & ((h & EASY) == 0))
+        hard = [*easy[(h[easy] & HARD) == 0].tolist(), n]
+        easy = [*easy.tolist(), n]
+        stop = n if at + n == len(data) else n - 2 * MOST
+        here = k = j = 0
         while here < stop:
-            here = after[here]
+            while end <= at + here:
+                end = next(texts)
+            k = bisect.bisect_left(hard, here + LEAST - 1, k)
+            last = hard[k] if k < len(hard) else n
+            if last >= here + NORMAL - 1:
+                j = bisect.bisect_left(easy, here + NORMAL - 1, j)
+                last = easy[j] if j < len(easy) else n
+                if last >= here + MOST - 1:
+                    last = min(here + MOST - 1, n)
+                    while last < n and not whole[last]:
+                        last += 1
+            here = min(last + 1, end - at, n)
             out.append(at + here)
         at += here
     return np.array(out)
@@ -86,26 +92,22 @@ def chunk_starts(data: np.ndarray) -> np.ndarray:
 def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
     """Of each text the sorted set of its chunks: 56 bits of digest, 8 bits of length."""
     data = np.frombuffer(b"".join(texts), np.uint8)
-    out, at = [], 0
-    for text in texts:
-        own = data[at:at + len(text)]
-        at += len(text)
-        if not len(own):
-            out.append(np.zeros(0, np.uint64))
-            continue
-        starts = chunk_starts(own)
-        digests = []
-        for i in range(0, len(starts) - 1, BLOCK // MOST):  # running sums over a block at most
-            edge = starts[i:i + BLOCK // MOST + 1]
-            part = own[edge[0]:edge[-1]]
-            edge = edge - edge[0]
-            power, inverse = _power(len(part) + 1)
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_value[part] * power[:-1], out=total[1:])
-            length = np.diff(edge).astype(np.uint64)
-            digests.append(mix((total[edge[1:]] - total[edge[:-1]]) * inverse[edge[:-1]] + length) & ~np.uint64(0xFF) | length)
-        out.append(np.unique(np.concatenate(digests)))
-    return out
+    bounds = np.cumsum([len(t) for t in texts])
+    if not len(data):
+        return [np.zeros(0, np.uint64) for _ in texts]
+    starts = chunk_starts(data, bounds)
+    digests = np.empty(len(starts) - 1, np.uint64)
+    for i in range(0, len(starts) - 1, BLOCK // MOST):  # running sums over a block at most
+        edge = starts[i:i + BLOCK // MOST + 1]
+        part = data[edge[0]:edge[-1]]
+        edge = edge - edge[0]
+        power, inverse = _power(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_value[part] * power[:-1], out=total[1:])
+        length = np.diff(edge).astype(np.uint64)
+        digests[i:i + len(length)] = mix((total[edge[1:]] - total[edge[:-1]]) * inverse[edge[:-1]] + length) & ~np.uint64(0xFF) | length
+    cuts = np.searchsorted(starts, bounds)
+    return [np.unique(digests[a:b]) for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
@@ -185,25 +187,39 @@ def compare_next(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # the row that waits for the next one
-        for batch in batches:
-            rows = []
-            for at, again, i, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                row = at, i, text, fingerprints([text.encode()])[0]
+        for rows in _blocks(batches):
+            pairs = []
+            for (at, again, i, text), own in zip(rows, fingerprints([text.encode() for *_, text in rows]), strict=True):
+                row = at, i, text, own
                 if before is not None and before[0] == at:
-                    rows.append(_compared(before, row))
+                    pairs.append((before, row))
                 before = None if again else row
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+            if pairs:
+                yield _compared(pairs)
 
     return in_order(docs).mapInArrow(run, _COMPARED)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows, their text last, in runs of about a block of text."""
+    rows, held = [], 0
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            rows.append(tuple(x.as_py() for x in row))
+            held += len(rows[-1][-1])
+            if held >= BLOCK:
+                yield rows
+                rows, held = [], 0
+    if rows:
+        yield rows
+
+
 _SCHEMA = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[t]) for n, t in (c.split() for c in _COMPARED.split(", "))])
 
 
-def _compared(row: tuple, following: tuple) -> dict:
-    _, i, text, own = row
-    changed = edited(text, following[2]).encode()
-    other = fingerprints([changed])[0]
-    return {"doc_id": i, "n_chars": len(text), "edited_sha256": hashlib.sha256(changed).hexdigest(), "fingerprint": as_text(own),
+def _compared(pairs: list[tuple[tuple, tuple]]) -> pa.RecordBatch:
+    changed = [edited(row[2], following[2]).encode() for row, following in pairs]
+    out = [{"doc_id": i, "n_chars": len(text), "edited_sha256": hashlib.sha256(data).hexdigest(), "fingerprint": as_text(own),
             "edited_fingerprint": as_text(other), "near_edited": containment(own, other), "near_next": containment(own, following[3])}
+           for ((_, i, text, own), following), data, other in zip(pairs, changed, fingerprints(changed), strict=True)]
+    return pa.RecordBatch.from_pylist(out, _SCHEMA)

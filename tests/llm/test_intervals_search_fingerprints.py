@@ -179,12 +179,15 @@ def test_chunks(texts, block, monkeypatch):
     more = ["a" * 3000, "é漢😀" * 500, "x", "".join(chr(rng.randrange(32, 1000)) for _ in range(5000)), "ab" * 63, "abc" * 43]
     for t in [t for t in texts.values() if t] + more:
         data = t.encode()
-        starts = fingerprints.chunk_starts(np.frombuffer(data, np.uint8)).tolist()
+        starts = fingerprints.chunk_starts(np.frombuffer(data, np.uint8), np.array([len(data)])).tolist()
         own = chunks(data)
         assert [data[a:b] for a, b in zip(starts, starts[1:])] == own
         print_ = fingerprints.fingerprints([data])[0]
         assert len(print_) == len(set(own)) and sorted((print_ & np.uint64(0xFF)).tolist()) == sorted(map(len, set(own)))
         assert (fingerprints.from_text(fingerprints.as_text(print_)) == print_).all()
+    together = [(t or "").encode() for t in texts.values()] + [m.encode() for m in more]
+    for data, print_ in zip(together, fingerprints.fingerprints(together), strict=True):
+        assert (print_ == fingerprints.fingerprints([data])[0]).all()
 
 
 def compared(rows):
