@@ -6,8 +6,8 @@ integer impacts, which need the two totals alone.  A shard is one row of a writt
 of text, so a lost executor costs a few shards.  A term's weight depends on its document count and is the same
 in every shard; it multiplies a term's impacts when they are added up.
 
-``search`` goes over the shards with a block of queries at a time (``QUERIES`` of them, broadcast; a bound that
-does not depend on the corpus): one pass over the terms for document counts, one that adds up each query's
+``search`` goes over the shards with a block of queries at a time (``QUERIES`` or ``QUERY_BYTES`` of them, broadcast; a bound
+that does not depend on the corpus): one pass over the terms for document counts, one that adds up each query's
 terms, term by term, in a dense numpy array of the shard, and selects by argpartition every document that
 reaches the k-th score, ties included, before the exact order decides.  A task merges its shards; two rounds of
 ranked windows merge the tasks, so no task meets more than a few thousand rows of a query.
@@ -39,8 +39,9 @@ from .common import materialise
 from .shingles import word_hashes
 
 SHARD = 4 << 20
-#: Queries that go over the shards together; their terms and weights are broadcast.
+#: Queries, and bytes of them, that go over the shards together on average; their terms and weights are broadcast.
 QUERIES = 2000
+QUERY_BYTES = 16 << 20
 TOP = 10
 #: Tasks whose results one task of the first round merges.
 MERGED = 64
@@ -88,6 +89,17 @@ def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(ends, start, "right")
 
 
+def counted(texts: list[bytes]) -> tuple[int, int]:
+    """``(texts with a term, terms)``, from where terms start; nothing is hashed."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    inner = ~BETWEEN[data]
+    inner[1:] &= BETWEEN[data[:-1]]
+    start = np.flatnonzero(inner)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    before = np.searchsorted(start, ends)
+    return int((np.diff(before, prepend=0) > 0).sum()), len(start)
+
+
 def shard(ids: list, texts: list[bytes], documents: int, terms: int) -> list[bytes]:
     """One shard's columns, in the order of ``_INDEX``."""
     hashes, place = _terms(texts)
@@ -113,9 +125,9 @@ def build(docs: DataFrame, name: str = "search-index") -> Index:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         documents = terms = 0
         for _, texts in _blocks(batches):
-            place = _terms(texts)[1]
-            documents += len(np.unique(place))
-            terms += len(place)
+            own = counted(texts)
+            documents += own[0]
+            terms += own[1]
         yield pa.RecordBatch.from_pydict({"documents": pa.array([documents], pa.int64()), "terms": pa.array([terms], pa.int64())})
 
     total = docs.mapInArrow(count, "documents long, terms long").agg(F.sum("documents"), F.sum("terms")).first()
@@ -218,7 +230,8 @@ def search(index: Index, queries: DataFrame, k: int = TOP) -> DataFrame:
     """``item_id, rank, doc_id, score`` of the k best documents for each of ``queries`` (item_id, text)."""
     kind = "string" if dict(queries.dtypes)["item_id"] == "string" else "long"
     asked = queries.select(F.col("item_id").cast(kind), "text").filter("text is not null")
-    blocks = max(1, -(-asked.count() // QUERIES))
+    size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-size[0] // QUERIES), -(-size[1] // QUERY_BYTES))
     if blocks > 1:
         asked = materialise(asked.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks))), "queries")
     out = None
