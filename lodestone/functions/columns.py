@@ -24,12 +24,12 @@ def text(c: Column | str) -> Column:
 
 def date(c: Column | str) -> Column:
     """Dates written year-month-day; sentinels, compared as text, and all else become null."""
-    t = reduce(lambda x, s: F.nullif(x, F.lit(s)), D.SENTINEL_DATES, text(c))
-    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?!\d)"), t.try_cast("date"))
+    t = F.btrim(col(c), F.lit(_SPACES))
+    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?!\d)") & ~t.isin(*D.SENTINEL_DATES), t.try_cast("date"))
 
 
 def number(c: Column | str, kind: str = "decimal(18,2)") -> Column:
-    return text(c).try_cast(kind)
+    return F.btrim(col(c), F.lit(_SPACES)).try_cast(kind)
 
 
 def flag(c: Column) -> Column:
@@ -38,8 +38,8 @@ def flag(c: Column) -> Column:
 
 
 def label(c: Column, names: Mapping[str, str]) -> Column:
-    """The label of a code, null for an unknown one."""
-    return reduce(lambda w, kv: w.when(c == kv[0], F.lit(kv[1])), list(names.items())[1:], F.when(c == next(iter(names)), F.lit(next(iter(names.values())))))
+    """The label of a code, null for an unknown one: looked up in a literal map, whose code stays small."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), c)
 
 
 def state(c: Column | str) -> Column:
@@ -53,8 +53,8 @@ def division_number(cnae: Column) -> Column:
 
 def section(cnae: Column, field: int) -> Column:
     """Letter (field 2) or name (field 3) of the section whose range holds the code's division."""
-    n = division_number(cnae)
-    return F.coalesce(*[F.when(n.between(s[0], s[1]), F.lit(s[field])) for s in D.CNAE_SECTIONS])
+    names = {n: s[field] for s in D.CNAE_SECTIONS for n in range(s[0], s[1] + 1)}
+    return F.get(F.array(*[F.lit(names.get(n)).cast("string") for n in range(max(names) + 1)]), division_number(cnae))
 
 
 def area_band(area: Column) -> Column:

@@ -50,13 +50,13 @@ def latest(df: DataFrame, key: str, by: str) -> DataFrame:
 
 def arg_max(value: Column, by: Column, where: Column) -> Column:
     """The value of the row with the largest ``by`` among those that have one; ties go to the larger value."""
-    return F.max_by(value, F.when(where & value.isNotNull(), F.struct(by, value)))
+    return F.max(F.when(where & value.isNotNull(), F.struct(by.alias("by"), value.alias("value"))))["value"]
 
 
 def first_by(value: Column, *order: Column) -> Column:
     """The value of the first row by ``order``, nulls last, among those that have one."""
-    keys = [k for o in order for k in (o.isNull(), o)]
-    return F.min_by(value, F.when(value.isNotNull(), F.struct(*keys)))
+    keys = [k.alias(f"k{i}") for i, k in enumerate(k for o in order for k in (o.isNull(), o))]
+    return F.min(F.when(value.isNotNull(), F.struct(*keys, value.alias("value"))))["value"]
 
 
 def rows_of(one: DataFrame, name: str, value: str, kind: str = "double") -> DataFrame:
