@@ -299,21 +299,18 @@ def _with_faults(t) -> dict[str, DataFrame]:
     tables = kept(t)
     found = tables["obras"].join(t("orders").selectExpr("o_orderkey as k", "cast(o_orderkey - o_orderkey % 3 as string) as cno", RAW["obras"][1]["Data de registro"][1] + " as day").selectExpr(
         "k", "cno as __c", "try_cast(nullif(day, '') as date) as __d"), (F.coalesce("cno", F.lit("501")) == _c("__c")) & _c("data_registro").eqNullSafe(_c("__d")) & (_c("cno").isNull() == (_c("k") == 501)), "left")
+    found = found.withColumn("n", F.explode(F.when(_c("k") % 61 == 0, F.array(_c("k"), F.lit(None).cast("long"))).otherwise(F.array(_c("k")))))  # null: a second row, as it was
     bad = found.withColumns({
-        "situacao": F.when(_c("k") % 41 != 0, _c("situacao")), "obra_ativa": F.when(_c("k") % 37 != 0, _c("obra_ativa")),
-        "responsavel_tipo": F.when(_c("k") % 43 == 0, "PJ").otherwise(_c("responsavel_tipo")), "data_inicio": F.when(_c("k") % 47 == 0, F.lit(date(1970, 1, 1))).otherwise(_c("data_inicio")),
-        "uf": F.when(_c("k") % 59 == 0, "ZZ").otherwise(_c("uf"))})
-    return tables | {"obras": bad.unionByName(found.filter("k % 61 = 0"))}
+        "situacao": F.when(_c("n") % 41 == 0, None).otherwise(_c("situacao")), "obra_ativa": F.when(_c("n") % 37 == 0, None).otherwise(_c("obra_ativa")),
+        "responsavel_tipo": F.when(_c("n") % 43 == 0, "PJ").otherwise(_c("responsavel_tipo")), "data_inicio": F.when(_c("n") % 47 == 0, F.lit(date(1970, 1, 1))).otherwise(_c("data_inicio")),
+        "uf": F.when(_c("n") % 59 == 0, "ZZ").otherwise(_c("uf"))})
+    return tables | {"obras": bad.drop("n")}
 
 
 def faulty(t) -> dict[str, DataFrame]:
-    """The staged tables with faults, written and read as validation reads them."""
-    def write(spark: SparkSession, folder: str) -> None:
-        for name, table in _with_faults(t).items():
-            replace_snapshot(table, f"{folder}/{name}", SNAPSHOT)
-
-    spark, folder = _once(t, "faulty", write)
-    return {n: read_snapshot(spark, f"{folder}/{n}", SNAPSHOT) for n in staging.TABLES}
+    """The staged tables, works with faults, written and read as validation reads them; the others are read as they were staged."""
+    spark, folder = _once(t, "faulty", lambda spark, folder: replace_snapshot(_with_faults(t)["obras"], f"{folder}/obras", SNAPSHOT))
+    return kept(t) | {"obras": read_snapshot(spark, f"{folder}/obras", SNAPSHOT)}
 
 
 _CODES = ", ".join(f"'{x}'" for x in D.STATUSES)

@@ -38,3 +38,13 @@ def test_staged_tables_are_compiled(planned, capsys):
 def test_analytic_table_is_compiled(planned, capsys):
     found = sizes(planned, curate.analytic(sample.kept(tables(planned))), capsys)
     assert found and max(found) <= MOST_BYTES
+
+
+def test_only_faulty_works_are_written_again(spark, monkeypatch):
+    t, written, write = tables(spark), [], sample.replace_snapshot
+    sample.kept(t)
+    monkeypatch.setattr(sample, "_folders", {k: v for k, v in sample._folders.items() if k[0] == "staged"})
+    monkeypatch.setattr(sample, "replace_snapshot", lambda df, folder, *more: (written.append(folder.rsplit("/", 1)[1]), write(df, folder, *more))[1])
+    got = sample.faulty(t)
+    assert written == ["obras", "whole"] and set(got) == set(staging.TABLES)
+    assert got["obras"].count() > sample.kept(t)["obras"].count()
