@@ -80,9 +80,9 @@ def stage(name: str, source: DataFrame, snapshot: str) -> DataFrame:
     if table is WORKS:
         out = source.select(*clean, state("Estado").alias("uf")).withColumn("snapshot_date", F.lit(snapshot))
         return latest(out.withColumns(works_flags()), "cno", "data_registro")
-    out = source.select(*clean)
+    out = source.select(*clean).distinct()  # what follows from other columns comes after: rows are compared by less
     if table is AREAS:
         out = out.withColumn("area_principal", flag(F.col("tipo_area") == "Principal"))
     if table is LINKS:
         out = out.withColumn("qualificacao", label(F.col("qualificacao_codigo"), D.QUALIFICATIONS)).withColumn("vinculo_vigente", F.col("data_fim").isNull())
-    return out.distinct().withColumn("snapshot_date", F.lit(snapshot))
+    return out.withColumn("snapshot_date", F.lit(snapshot))

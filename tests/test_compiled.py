@@ -48,3 +48,10 @@ def test_only_faulty_works_are_written_again(spark, monkeypatch):
     got = sample.faulty(t)
     assert written == ["obras", "whole"] and set(got) == set(staging.TABLES)
     assert got["obras"].count() > sample.kept(t)["obras"].count()
+
+
+def test_rows_are_compared_by_source_columns_only(spark):
+    for name, derived in (("areas", "area_principal"), ("vinculos", "vinculo_vigente")):
+        plan = sample.staged(tables(spark))[name]._jdf.queryExecution().optimizedPlan().toString()
+        keys = [line.split("Aggregate [")[1].split("], [")[0] for line in plan.splitlines() if "Aggregate [" in line]
+        assert keys and not any(derived in line for line in keys)
